@@ -75,6 +75,13 @@ EXCHANGE_STATS = f"""SELECT exchange, COUNT(*) AS trade_count,
        MAX(amount_usd) AS max_trade_size
 FROM clean GROUP BY exchange"""
 
+WINDOWS = f"""windows AS (
+  SELECT time_bucket(INTERVAL '1 minute', event_time) AS window_start,
+         time_bucket(INTERVAL '1 minute', event_time) + INTERVAL '1 minute' AS window_end,
+         exchange, COUNT(*) AS trade_count, {money_sum('amount_usd')} AS total_volume
+  FROM trades WHERE event_time IS NOT NULL
+  GROUP BY window_start, window_end, exchange)"""
+
 ORACLE_SQL: dict[str, str] = {
     "parquet_scan": with_(TRADES) + "SELECT * FROM trades",
     "csv_scan": with_(TRADES) + """SELECT CAST(trade_id AS VARCHAR) AS trade_id, exchange,
@@ -147,4 +154,11 @@ FROM transactions""",
     "parquet_roundtrip": with_(TRADES, CLEAN, f"stats AS ({EXCHANGE_STATS})")
     + "SELECT *, (SELECT COUNT(*) FROM stats) AS written_rows FROM stats",
     "partitioned_enriched": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
+    "windowed_trades_batch": with_(TRADES, WINDOWS) + "SELECT * FROM windows",
+    "windowed_trades_stream": with_(TRADES, WINDOWS) + "SELECT * FROM windows",
+    "windowed_trades_complete": with_(TRADES, WINDOWS) + "SELECT * FROM windows",
+    "windowed_trades_append": with_(TRADES, WINDOWS) + """SELECT * FROM windows
+WHERE window_end <= (SELECT MAX(event_time) FROM trades) - INTERVAL '2 minutes'""",
+    "stream_enrich_sink": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
+    "stream_enrich_batches": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
 }
