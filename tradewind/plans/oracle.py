@@ -82,6 +82,103 @@ WINDOWS = f"""windows AS (
   FROM trades WHERE event_time IS NOT NULL
   GROUP BY window_start, window_end, exchange)"""
 
+# -- generators: the same integer arithmetic as operators.generate ----------
+
+M = 2147483647
+START_MS = 1785571200000  # 2026-08-01 08:00:00 UTC
+
+
+def _u(i: str, seed: int, salt: int) -> str:
+    x = f"((({i}) + {seed * 1000003 + salt * 7919}) % {M} + {M}) % {M}"
+    h1 = f"(({x}) * 48271 + 11) % {M}"
+    h2 = f"(({h1}) * ({h1}) + ({x})) % {M}"
+    return f"(({h2}) * 69621 + ({h1})) % {M}"
+
+
+def _between(i, seed, salt, lo, hi):
+    return f"({lo} + {_u(i, seed, salt)} % {hi - lo + 1})"
+
+
+def _cents(i, seed, salt, lo, hi):
+    return f"(CAST({_between(i, seed, salt, round(lo * 100), round(hi * 100))} AS DOUBLE) / CAST(100 AS DOUBLE))"
+
+
+def _choose(i, seed, salt, values):
+    lst = "[" + ", ".join(f"'{v}'" for v in values) + "]"
+    return f"({lst})[{_u(i, seed, salt)} % {len(values)} + 1]"
+
+
+EXCH = ["BINANCE", "COINBASE", "KRAKEN", "BYBIT", "OKX"]
+COINS = ["BTC", "ETH", "SOL", "XRP", "DOGE"]
+CURR = ["US Dollar", "Euro", "Yuan", "Ruble", "Yen", "UK Pound"]
+FMTS = ["Reinvestment", "Cheque", "Credit Card", "ACH", "Wire"]
+
+GEN_TRADES = f"""SELECT printf('TRD%06d', id) AS trade_id,
+  CASE WHEN id % 211 = 0 THEN NULL ELSE {_choose('id', 42, 1, EXCH)} END AS exchange,
+  {_choose('id', 42, 2, COINS)} AS coin,
+  printf('TRADER%04d', {_between('id', 42, 3, 1, 300)}) AS trader_id,
+  CASE WHEN id % 137 = 0 THEN NULL
+       WHEN {_u('id', 42, 4)} % 2 = 0 THEN {_cents('id', 42, 5, 50, 5000)}
+       ELSE {_cents('id', 42, 6, 100000, 500000)} END AS amount_usd,
+  strftime(epoch_ms({START_MS} + {_between('id', 42, 7, 0, 21600)} * 1000), '%Y-%m-%dT%H:%M:%S') AS event_time
+FROM (SELECT event_id AS id FROM events)"""
+
+GEN_STREAM_TRADES = f"""SELECT printf('STRD%06d', id) AS trade_id,
+  {_choose('id', 7, 1, EXCH)} AS exchange,
+  {_choose('id', 7, 2, COINS)} AS coin,
+  printf('TRADER%04d', {_between('id', 7, 3, 1, 100)}) AS trader_id,
+  {_cents('id', 7, 5, 50, 50000)} AS amount_usd,
+  strftime(epoch_ms({START_MS} + id * 500), '%Y-%m-%dT%H:%M:%S.%f') AS event_time
+FROM (SELECT event_id AS id FROM events)"""
+
+SYNTHETIC = f"""synthetic AS (SELECT
+  strftime(epoch_ms({START_MS} + id * 500), '%Y/%m/%d %H:%M') AS ts,
+  CAST({_between('id', 11, 1, 1, 49999)} AS INT) AS from_bank,
+  printf('%07X', {_between('id', 11, 3, 1000000, 9999999)}) AS from_account,
+  CAST({_between('id', 11, 2, 1, 49999)} AS INT) AS to_bank,
+  printf('%07X', {_between('id', 11, 4, 1000000, 9999999)}) AS to_account,
+  {_cents('id', 11, 5, 1, 50000)} AS amount_received,
+  {_choose('id', 11, 6, CURR)} AS receiving_currency,
+  {_cents('id', 11, 5, 1, 50000)} AS amount_paid,
+  {_choose('id', 11, 7, CURR)} AS payment_currency,
+  {_choose('id', 11, 8, FMTS)} AS payment_format,
+  CASE WHEN {_u('id', 11, 9)} % 1000000 < 1000 THEN 1 ELSE 0 END AS is_laundering_flag
+FROM (SELECT o_orderkey AS id FROM orders))"""
+
+PROFILED = f"""banks AS (
+  SELECT from_bank AS bank, row_number() OVER (ORDER BY cnt DESC, from_bank) - 1 AS idx
+  FROM (SELECT from_bank, COUNT(*) AS cnt FROM transactions WHERE from_bank IS NOT NULL
+        GROUP BY from_bank ORDER BY cnt DESC, from_bank LIMIT 1000)),
+cur AS (
+  SELECT receiving_currency AS v, row_number() OVER (ORDER BY COUNT(*) DESC, receiving_currency) - 1 AS idx
+  FROM transactions WHERE receiving_currency IS NOT NULL GROUP BY receiving_currency),
+fmt AS (
+  SELECT payment_format AS v, row_number() OVER (ORDER BY COUNT(*) DESC, payment_format) - 1 AS idx
+  FROM transactions WHERE payment_format IS NOT NULL GROUP BY payment_format),
+params AS (
+  SELECT (SELECT COUNT(*) FROM banks) AS nb, (SELECT COUNT(*) FROM cur) AS nc,
+         (SELECT COUNT(*) FROM fmt) AS nf,
+         (SELECT AVG(CAST(is_laundering_flag AS DOUBLE)) FROM transactions) AS rate,
+         (SELECT MAX(try_strptime(ts, '%Y/%m/%d %H:%M')) FROM transactions) AS as_of)
+SELECT id,
+  strftime(p.as_of - to_minutes(CAST({_between('id', 13, 10, 0, 60)} AS INT)), '%Y/%m/%d %H:%M') AS ts,
+  CAST(fb.bank AS INT) AS from_bank,
+  printf('%07X', {_between('id', 13, 3, 1000000, 9999999)}) AS from_account,
+  CAST(tb.bank AS INT) AS to_bank,
+  printf('%07X', {_between('id', 13, 4, 1000000, 9999999)}) AS to_account,
+  {_cents('id', 13, 5, 5, 50000)} AS amount_received,
+  rc.v AS receiving_currency,
+  {_cents('id', 13, 5, 5, 50000)} AS amount_paid,
+  pc.v AS payment_currency,
+  pf.v AS payment_format,
+  CASE WHEN CAST({_u('id', 13, 9)} AS DOUBLE) < p.rate * CAST({M} AS DOUBLE) THEN 1 ELSE 0 END AS is_laundering_flag
+FROM (SELECT o_orderkey AS id FROM orders) ids CROSS JOIN params p
+LEFT JOIN banks fb ON fb.idx = {_u('id', 13, 1)} % p.nb
+LEFT JOIN banks tb ON tb.idx = {_u('id', 13, 2)} % p.nb
+LEFT JOIN cur rc ON rc.idx = {_u('id', 13, 6)} % p.nc
+LEFT JOIN cur pc ON pc.idx = {_u('id', 13, 7)} % p.nc
+LEFT JOIN fmt pf ON pf.idx = {_u('id', 13, 8)} % p.nf"""
+
 ORACLE_SQL: dict[str, str] = {
     "parquet_scan": with_(TRADES) + "SELECT * FROM trades",
     "csv_scan": with_(TRADES) + """SELECT CAST(trade_id AS VARCHAR) AS trade_id, exchange,
@@ -161,4 +258,12 @@ FROM transactions""",
 WHERE window_end <= (SELECT MAX(event_time) FROM trades) - INTERVAL '2 minutes'""",
     "stream_enrich_sink": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
     "stream_enrich_batches": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
+    "generated_trades": GEN_TRADES,
+    "generated_stream_trades": GEN_STREAM_TRADES,
+    "synthetic_transactions": with_(SYNTHETIC) + "SELECT * FROM synthetic",
+    "synthetic_tally": with_(SYNTHETIC) + """SELECT COUNT(*) AS sent,
+       COUNT(*) FILTER (WHERE is_laundering_flag = 1) AS flagged,
+       CAST(COUNT(*) FILTER (WHERE is_laundering_flag = 1) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0) AS flagged_pct
+FROM synthetic""",
+    "profiled_transactions": with_(TRANSACTIONS, PROFILED),
 }

@@ -22,6 +22,7 @@ from ..sources import views
 from ..sources.decode import decode_messages
 from ..schemas import TRANSACTION_MESSAGE_SCHEMA
 from .. import streaming as st
+from ..operators import generate as gen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,6 +297,42 @@ def stream_enrich_batches(spark, sf_dir):
     return spark.read.parquet(out).drop("processing_time", "kafka_timestamp", st.BATCH_COL)
 
 
+# -- generators ---------------------------------------------------------------
+
+def _event_ids(spark, sf_dir):
+    return src.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+
+
+def _order_ids(spark, sf_dir):
+    return src.read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+
+
+def generated_trades(spark, sf_dir):
+    """G1: one sample trade per event id."""
+    return gen.sample_trades(_event_ids(spark, sf_dir))
+
+
+def generated_stream_trades(spark, sf_dir):
+    """One stream-shaped trade per event id."""
+    return gen.stream_trades(_event_ids(spark, sf_dir))
+
+
+def synthetic_transactions(spark, sf_dir):
+    """One fixed-domain transaction per order key."""
+    return gen.synthetic_transactions(_order_ids(spark, sf_dir))
+
+
+def synthetic_tally(spark, sf_dir):
+    """A12 over G3: sent, flagged, flagged percent."""
+    return ops.flag_tally(gen.synthetic_transactions(_order_ids(spark, sf_dir)))
+
+
+def profiled_transactions(spark, sf_dir):
+    """One transaction per order key, drawn from the transactions
+    view's profile (top-1000 banks, currencies, formats, label rate)."""
+    return gen.profiled_transactions(_order_ids(spark, sf_dir), views.transactions(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "parquet_scan": parquet_scan,
     "csv_scan": csv_scan,
@@ -337,4 +374,9 @@ QUERIES: dict[str, Query] = {
     "windowed_trades_append": windowed_trades_append,
     "stream_enrich_sink": stream_enrich_sink,
     "stream_enrich_batches": stream_enrich_batches,
+    "generated_trades": generated_trades,
+    "generated_stream_trades": generated_stream_trades,
+    "synthetic_transactions": synthetic_transactions,
+    "synthetic_tally": synthetic_tally,
+    "profiled_transactions": profiled_transactions,
 }
