@@ -14,8 +14,6 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import nan_to_null
 
-_DATA = "__data"
-
 
 def decode_messages(messages: DataFrame, schema: T.StructType, required: str,
                     keep_columns: list[str] | None = None,
@@ -28,8 +26,12 @@ def decode_messages(messages: DataFrame, schema: T.StructType, required: str,
     ``keep_columns`` carries message columns (e.g. ``key``) alongside.
     """
     keep = [F.col(c) for c in (keep_columns or [])]
-    parsed = messages.select(*keep, F.from_json(F.col("value").cast("string"), schema).alias(_DATA))
-    flat = parsed.select(*[F.col(c) for c in (keep_columns or [])], f"{_DATA}.*")
+    # Parse once: ``inline`` of a one-element array turns the struct into
+    # columns inside a Generate node. With a plain ``select("data.*")``
+    # Catalyst pushes the required-field filter below the projection and
+    # every message is parsed twice (once for the filter, once for output).
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    flat = messages.select(*keep, F.inline(F.array(parsed)))
     if normalize_nan:
         doubles = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
         if doubles:

@@ -43,3 +43,17 @@ def id_range(spark: SparkSession, n: int, start: int = 0, num_partitions: int |
 def schema_report(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and SQL type names (the data in ``printSchema``)."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than that (e.g. one large Parquet row group); otherwise
+    leave it alone. At scale the scan already has thousands of splits and no
+    shuffle is added."""
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. Spark Connect): keep the scan as is
+        return df
+    return df.repartition(target)
