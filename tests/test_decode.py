@@ -55,3 +55,23 @@ def test_empty_required_string_passes_then_parses_null(spark):
     df = spark.createDataFrame([('{"ts":"","amount_received":5.0}',)], "value string")
     out = enrich_transactions(decode_messages(df, TRANSACTION_MESSAGE_SCHEMA, "ts")).collect()
     assert len(out) == 1 and out[0].event_timestamp is None and out[0].amount_category == "LOW"
+
+
+def test_binary_value_is_cast(spark):
+    df = spark.createDataFrame([(bytearray(b'{"ts":"a","bank":3}'),)], "value binary")
+    r = decode_messages(df, SCHEMA, required="ts").first()
+    assert r.ts == "a" and r.bank == 3
+
+
+def test_raw_csv_and_persisted(spark, tmp_path):
+    from tradewind.sources import files as src
+    from tradewind.session import persisted
+    p = tmp_path / "raw.csv"
+    p.write_text("Timestamp,From Bank,Account,To Bank,Account,Amount Received,Receiving Currency,"
+                 "Amount Paid,Payment Currency,Payment Format,Is Laundering\n"
+                 "2022/09/01 00:20,10,0012345,20,1E5,12000.5,Euro,12000.5,Euro,ACH,1\n")
+    with persisted(src.read_raw_transactions_csv(spark, str(p))) as df:
+        r = enrich_transactions(df).first()
+        assert df.is_cached
+    assert (r.from_account, r.to_account, r.amount_category, r.is_laundering) == ("0012345", "1E5", "HIGH", "Yes")
+    assert (r.hour_of_day, r.day_of_week) == (0, 5)

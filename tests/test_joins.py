@@ -42,3 +42,17 @@ def test_broadcast_only_when_small(spark):
     small_plan = ops.lookup_join(t, lk, "trader_id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in small_plan or "broadcast" in small_plan.lower()
     assert ops.is_small(lk, 4) and not ops.is_small(lk, 3)
+
+
+def test_inline_trader_lookup_with_sample_trades(spark):
+    from pyspark.sql import functions as F
+    from tradewind.operators import generate as gen
+    from tradewind.sources import trader_lookup
+    lk = trader_lookup(spark)
+    assert lk.count() == 5
+    trades = ops.clean_trades(gen.sample_trades(spark.range(0, 2000, 1, 4)))
+    joined = ops.lookup_join(trades, lk, "trader_id", "left")
+    ids = [r[0] for r in lk.select("trader_id").collect()]
+    matched = joined.filter(F.col("trader_name").isNotNull()).count()
+    assert matched == trades.filter(F.col("trader_id").isin(ids)).count()
+    assert ops.unmatched(trades, lk).count() == trades.count() - matched

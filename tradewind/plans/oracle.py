@@ -266,4 +266,15 @@ WHERE window_end <= (SELECT MAX(event_time) FROM trades) - INTERVAL '2 minutes'"
        CAST(COUNT(*) FILTER (WHERE is_laundering_flag = 1) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0) AS flagged_pct
 FROM synthetic""",
     "profiled_transactions": with_(TRANSACTIONS, PROFILED),
+    "transactions_csv_scan": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
+    "stream_summary": with_(TRANSACTIONS, ENRICHED) + f"""SELECT day_of_week, COUNT(*) AS count,
+       {money_sum('amount_received')} AS total_amount FROM enriched
+WHERE day_of_week IN (1, 7) AND amount_category = 'HIGH'
+GROUP BY day_of_week ORDER BY day_of_week NULLS FIRST""",
+    "generated_trade_windows": f"""WITH g AS ({GEN_STREAM_TRADES}),
+t AS (SELECT CAST(event_time AS TIMESTAMP) AS ts, exchange, amount_usd FROM g)
+SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
+       time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
+       exchange, COUNT(*) AS trade_count, {money_sum('amount_usd')} AS total_volume
+FROM t GROUP BY window_start, window_end, exchange""",
 }

@@ -20,7 +20,7 @@ from ..sinks import files as sinks
 from ..sources import files as src
 from ..sources import views
 from ..sources.decode import decode_messages
-from ..schemas import TRANSACTION_MESSAGE_SCHEMA
+from ..schemas import TRANSACTION_MESSAGE_SCHEMA, TRANSACTION_RAW_NAMES as RAW_NAMES
 from .. import streaming as st
 from ..operators import generate as gen
 
@@ -220,6 +220,15 @@ def replay_cycles(spark, sf_dir):
 
 # -- sinks -------------------------------------------------------------------
 
+def transactions_csv_scan(spark, sf_dir):
+    """S1 + K6 for the raw feed: transactions written as CSV under the feed's
+    own headers, read back positionally with the declared schema, enriched."""
+    raw_names = [k for k, v in RAW_NAMES.items() if v != "kafka_timestamp"]
+    path = shared_dir(spark, "transactions_csv")
+    sinks.write_csv(views.transactions(spark, sf_dir).toDF(*raw_names), path)
+    return ops.enrich_transactions(src.read_raw_transactions_csv(spark, path))
+
+
 def parquet_roundtrip(spark, sf_dir):
     """K1 + K2: exchange statistics written, verified and read back."""
     written, back = sinks.write_and_verify(exchange_stats(spark, sf_dir), shared_dir(spark, "exchange_stats"))
@@ -297,6 +306,33 @@ def stream_enrich_sink(spark, sf_dir):
     return spark.read.parquet(out).drop("processing_time", "kafka_timestamp")
 
 
+def stream_summary(spark, sf_dir):
+    """The summary job over the stream sink's partitioned output: tier
+    statistics of the weekend HIGH tier, read with partition pruning
+    (day_of_week in (1, 7), amount_category = 'HIGH' never open other
+    directories)."""
+    enriched_stream = st.enriched_transaction_stream(
+        st.read_message_stream(spark, _transaction_log(spark, sf_dir)))
+    out, ckpt = shared_dir(spark, "enriched_stream"), shared_dir(spark, "ckpt")
+    st.run_until_done(st.start_file_sink(enriched_stream, out, ckpt, ENRICH_PARTITIONS,
+                                         trigger=AVAILABLE_NOW))
+    stored = spark.read.parquet(out).filter(
+        F.col("day_of_week").isin(1, 7) & (F.col("amount_category") == "HIGH"))
+    return ops.weekday_stats(stored)
+
+
+def generated_trade_windows(spark, sf_dir):
+    """G2 -> M2 -> message log -> trade stream (update mode, several
+    micro-batches in event-time order) -> last-wins windows."""
+    log = shared_dir(spark, "generated_trade_log")
+    ids = _event_ids(spark, sf_dir)
+    st.write_message_log(ops.encode_trades(gen.stream_trades(src.spread(ids))), log)
+    agg = st.trade_windows(st.read_message_stream(spark, log))
+    out, ckpt = shared_dir(spark, "generated_windows"), shared_dir(spark, "ckpt")
+    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW))
+    return st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"]))
+
+
 def stream_enrich_batches(spark, sf_dir):
     """T9 + K3: the same stream through foreachBatch, several micro-batches,
     each in its own replay-safe batch_id partition."""
@@ -377,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "decoded_messages": decoded_messages,
     "trade_messages": trade_messages,
     "replay_cycles": replay_cycles,
+    "transactions_csv_scan": transactions_csv_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_enriched": partitioned_enriched,
     "windowed_trades_batch": windowed_trades_batch,
@@ -385,6 +422,8 @@ QUERIES: dict[str, Query] = {
     "windowed_trades_append": windowed_trades_append,
     "stream_enrich_sink": stream_enrich_sink,
     "stream_enrich_batches": stream_enrich_batches,
+    "stream_summary": stream_summary,
+    "generated_trade_windows": generated_trade_windows,
     "generated_trades": generated_trades,
     "generated_stream_trades": generated_stream_trades,
     "synthetic_transactions": synthetic_transactions,

@@ -28,6 +28,17 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for long-running streams with large state: RocksDB
+# keeps state off the JVM heap, changelog checkpointing uploads only deltas.
+# The shuffle partition count of a stateful stream is frozen in its
+# checkpoint at first start, so size it for the cluster before starting.
+STREAMING_SCALE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tradewind", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
@@ -83,6 +94,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+class persisted:
+    """``with persisted(df) as d:`` caches a frame that is used more than
+    once and unpersists it on exit."""
+
+    def __init__(self, df, storage_level=None):
+        self.df, self.level = df, storage_level
+
+    def __enter__(self):
+        return self.df.persist(self.level) if self.level is not None else self.df.persist()
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

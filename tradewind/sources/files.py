@@ -19,6 +19,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     return reader.csv(path)
 
 
+def read_raw_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
+    """S1 for the raw transaction feed (headers ``Timestamp``, ``From Bank``,
+    ``Account``, ``Account.1``, ...): read positionally with the declared
+    canonical schema, so ids never turn numeric and names are snake_case.
+    The header line must list the feed's columns in the feed's order."""
+    from ..schemas import TRANSACTION_SCHEMA
+    return read_csv(spark, path, TRANSACTION_SCHEMA, enforceSchema=True)
+
+
 def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
     """Opt-in schema inference: one extra pass over the file(s)."""
     return (spark.read.option("header", True).option("inferSchema", True)
