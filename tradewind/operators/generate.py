@@ -164,10 +164,32 @@ def dense_index(df: DataFrame, order: Sequence[Column], max_local_rows: int = LO
             .drop(pid, "__local", "__offset"))
 
 
-def _ranked_values(history: DataFrame, column: str, top_n: int | None, name: str) -> DataFrame:
-    prof = frequency_profile(history, column, top_n)
-    return dense_index(prof, [F.col("count").desc(), F.col(column).asc()]).select(
-        F.col(_IDX), F.col(column).alias(name))
+def value_profile(history: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Value counts of several columns in one scan: (kind, s, n, count).
+
+    Each row is exploded into one (kind, value) pair per column, so a single
+    partial + final aggregation covers all columns. ``n`` keeps an integral
+    value's number for numeric tie-breaking, ``s`` its text. Nulls are
+    excluded, as the reference's value counts do.
+    """
+    pairs = []
+    for kind, col in columns.items():
+        c = F.col(col)
+        integral = history.schema[col].dataType.simpleString() in ("int", "bigint", "smallint", "tinyint")
+        pairs.append(F.struct(F.lit(kind).alias("kind"), c.cast("string").alias("s"),
+                              (c.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("n")))
+    exploded = history.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    return (exploded.filter(F.col("s").isNotNull()).groupBy("kind", "s", "n")
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def _ranked(profile: DataFrame, kind: str, top_n: int | None) -> DataFrame:
+    """The values of one kind indexed 0.. by frequency (ties by value)."""
+    order = [F.col("count").desc(), F.col("n").asc(), F.col("s").asc()]
+    vals = profile.filter(F.col("kind") == kind)
+    if top_n:
+        vals = vals.orderBy(*order).limit(top_n)
+    return dense_index(vals, order).select(F.col(_IDX), "s", "n")
 
 
 def _pick(rows: DataFrame, ids: Column, seed: int, salt: int, values: DataFrame,
@@ -198,15 +220,25 @@ def profiled_transactions(ids: DataFrame, history: DataFrame, id_col: str = "id"
     latest timestamp, a scalar subquery).
     """
     i = F.col(id_col)
-    banks = _ranked_values(history, "from_bank", top_banks, "bank")
-    currencies = _ranked_values(history, "receiving_currency", None, "currency")
-    formats = _ranked_values(history, "payment_format", None, "fmt")
+    # One scan of the history for all three value lists; the profile is
+    # small (distinct values only), so it is checkpointed to the shared
+    # folder and every later use -- size checks, indexing, joins -- reads
+    # that instead of rescanning the history.
+    profile = value_profile(history, {"bank": "from_bank", "currency": "receiving_currency",
+                                      "format": "payment_format"}).checkpoint()
+    banks = _ranked(profile, "bank", top_banks).select(_IDX, F.col("n").cast("int").alias("bank"))
+    currencies = _ranked(profile, "currency", None).select(_IDX, F.col("s").alias("currency"))
+    formats = _ranked(profile, "format", None).select(_IDX, F.col("s").alias("fmt"))
     n_banks = banks.agg(F.count(F.lit(1))).scalar()
     n_cur = currencies.agg(F.count(F.lit(1))).scalar()
     n_fmt = formats.agg(F.count(F.lit(1))).scalar()
-    rate = history.agg(F.avg(F.col("is_laundering_flag").cast("double"))).scalar()
+    # Label rate and latest time in one aggregate (one scalar subquery).
+    facts = history.agg(F.struct(
+        F.avg(F.col("is_laundering_flag").cast("double")).alias("rate"),
+        F.max(F.try_to_timestamp(F.col("ts"), F.lit(TXN_TIME))).alias("as_of"))).scalar()
+    rate = facts.getField("rate")
     if as_of is None:
-        as_of = history.agg(F.max(F.try_to_timestamp(F.col("ts"), F.lit(TXN_TIME)))).scalar()
+        as_of = facts.getField("as_of")
 
     rows = ids.select(i)
     rows = _pick(rows, i, seed, 1, banks, n_banks, "from_bank", top_banks)

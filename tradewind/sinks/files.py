@@ -35,10 +35,19 @@ def write_and_verify(df: DataFrame, path: str, mode: str = "overwrite") -> tuple
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
-                      mode: str = "append") -> None:
+                      mode: str = "append", rebalance: bool = True) -> None:
     """K3 (batch form): append or dynamic-overwrite a Hive-style partitioned
     Parquet directory. A null partition value lands in
-    ``__HIVE_DEFAULT_PARTITION__`` and reads back as null."""
+    ``__HIVE_DEFAULT_PARTITION__`` and reads back as null.
+
+    ``rebalance`` shuffles rows by the partition columns through Spark's
+    REBALANCE hint: each task then writes few directories (without it every
+    task writes a file into every directory -- millions of small files at
+    scale), and AQE splits an oversized directory (one tier can hold most
+    rows) into several tasks and merges tiny ones.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 

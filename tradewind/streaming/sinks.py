@@ -40,10 +40,14 @@ def batch_writer(path: str, partition_by: Sequence[str] = (), fmt: str = "parque
     ``path/batch_id=<n>/<partition_by...>`` with dynamic overwrite.
 
     The row count comes from an ``Observation`` on the write itself (D3),
-    not from a second job over the batch.
+    not from a second job over the batch. With ``partition_by`` the batch is
+    rebalanced on those columns first (AQE runs inside ``foreachBatch``, so
+    a dominant tier is split across tasks and each task writes few files).
     """
     def write(df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"batch_{batch_id}")
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         out = df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")).observe(
             obs, F.count(F.lit(1)).alias("rows"))
         (out.write.format(fmt).mode("overwrite")
@@ -71,7 +75,12 @@ def start_batch_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
                     fmt: str = "parquet", trigger: dict | None = None) -> StreamingQuery:
-    """K3 with Spark's exactly-once file sink (append mode only)."""
+    """K3 with Spark's exactly-once file sink (append mode only).
+
+    Streaming plans run without AQE, so no rebalance here: every task writes
+    one file per partition directory it sees. Prefer ``start_batch_sink``
+    with ``partition_by`` when per-batch file counts matter more than the
+    file sink's metadata log."""
     w = (df.writeStream.format(fmt).outputMode("append")
            .option("checkpointLocation", checkpoint).option("path", path))
     if partition_by:
