@@ -75,3 +75,31 @@ def test_raw_csv_and_persisted(spark, tmp_path):
         assert df.is_cached
     assert (r.from_account, r.to_account, r.amount_category, r.is_laundering) == ("0012345", "1E5", "HIGH", "Yes")
     assert (r.hour_of_day, r.day_of_week) == (0, 5)
+
+
+def test_kafka_options_and_ingest_stamp(spark):
+    import json
+    from tradewind.sources.kafka import kafka_options
+    from tradewind.sinks.kafka import DEFAULT_PRODUCER_OPTIONS
+    from tradewind.operators import encode_transactions, encode_trades
+    o = kafka_options("broker:9092", "transactions", maxOffsetsPerTrigger=1000)
+    assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
+    assert o["subscribe"] == "transactions" and o["maxOffsetsPerTrigger"] == "1000"
+    assert DEFAULT_PRODUCER_OPTIONS["kafka.acks"] == "all"
+    df = spark.createDataFrame([("2022/09/01 00:20", 7, None)], "ts string, from_bank int, amount_received double")
+    m = encode_transactions(df).first()
+    body = json.loads(m.value)
+    assert m.key == "7" and "amount_received" not in body and body["from_bank"] == 7
+    assert len(body["kafka_timestamp"]) == 26 and body["kafka_timestamp"][10] == "T"
+    assert encode_trades(df).first().key is None
+
+
+def test_stream_adds_processing_time(spark, tmp_path):
+    from tradewind import streaming as st
+    from tradewind.operators import encode_transactions
+    from tradewind.operators.generate import synthetic_transactions
+    log = str(tmp_path / "log")
+    st.write_message_log(encode_transactions(synthetic_transactions(spark.range(10))), log)
+    s = st.enriched_transaction_stream(st.read_message_stream(spark, log))
+    assert s.isStreaming and dict(s.dtypes)["processing_time"] == "timestamp"
+    assert {"amount_category", "event_timestamp", "hour_of_day", "day_of_week", "is_laundering"} <= set(s.columns)
