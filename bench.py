@@ -42,8 +42,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     ckpt = tempfile.mkdtemp(prefix="tradewind-bench-")
+    extra = {"spark.checkpoint.dir": ckpt}
+    event_log = os.environ.get("BENCH_EVENT_LOG_DIR")   # stage/task times, read offline
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app_name="tradewind-bench",
-                          extra={"spark.checkpoint.dir": ckpt})
+                          extra=extra)
     spark.sparkContext.setCheckpointDir(ckpt)
     times: dict[str, float] = {}
     for name in HEADLINE:

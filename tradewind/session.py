@@ -39,6 +39,20 @@ STREAMING_SCALE_CONF = {
 }
 
 
+# Starting points for a large cluster (about 1000 executors, 100 TB input):
+# 256 MB scan splits; plenty of shuffle partitions that AQE coalesces to the
+# advisory size; skewed shuffle partitions split above 256 MB / 5x median.
+# ``spark.checkpoint.dir`` must name a shared file system folder.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tradewind", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
