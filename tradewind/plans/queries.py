@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..session import shared_dir
+from ..session import default_parallelism, shared_dir
 from ..sinks import files as sinks
 from ..sources import files as src
 from ..sources import views
@@ -273,7 +273,8 @@ def windowed_trades_stream(spark, sf_dir):
     foreachBatch changelog, read back last-wins per (window, exchange)."""
     agg = st.trade_windows(st.read_message_stream(spark, _trade_log(spark, sf_dir)))
     out, ckpt = shared_dir(spark, "trade_windows_update"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW))
+    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW,
+                                         state_partitions=default_parallelism(spark)))
     return st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"]))
 
 
@@ -282,7 +283,8 @@ def windowed_trades_complete(spark, sf_dir):
     batch holds the whole result."""
     agg = st.trade_windows(st.read_message_stream(spark, _trade_log(spark, sf_dir)), sort=True)
     out, ckpt = shared_dir(spark, "trade_windows_complete"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "complete", trigger=AVAILABLE_NOW))
+    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "complete", trigger=AVAILABLE_NOW,
+                                         state_partitions=default_parallelism(spark)))
     return st.flatten_window(st.latest_batch(spark.read.parquet(out)))
 
 
@@ -291,7 +293,8 @@ def windowed_trades_append(spark, sf_dir):
     watermark has closed (end <= max event time - 2 minutes) are emitted."""
     agg = st.trade_windows(st.read_message_stream(spark, _trade_log(spark, sf_dir)))
     out, ckpt = shared_dir(spark, "trade_windows_append"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_file_sink(agg, out, ckpt, trigger=AVAILABLE_NOW))
+    st.run_until_done(st.start_file_sink(agg, out, ckpt, trigger=AVAILABLE_NOW,
+                                         state_partitions=default_parallelism(spark)))
     return st.flatten_window(spark.read.parquet(out))
 
 
@@ -329,7 +332,8 @@ def generated_trade_windows(spark, sf_dir):
     st.write_message_log(ops.encode_trades(gen.stream_trades(src.spread(ids))), log)
     agg = st.trade_windows(st.read_message_stream(spark, log))
     out, ckpt = shared_dir(spark, "generated_windows"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW))
+    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW,
+                                         state_partitions=default_parallelism(spark)))
     return st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"]))
 
 

@@ -108,6 +108,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+class session_conf:
+    """``with session_conf(spark, {key: value}):`` sets SQL confs for the
+    block and restores them after. Used around ``writeStream.start()``,
+    which snapshots the session (e.g. the state partition count)."""
+
+    def __init__(self, spark: SparkSession, conf: dict[str, str]):
+        self.spark, self.conf, self.saved = spark, conf, {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self.spark
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 class persisted:
     """``with persisted(df) as d:`` caches a frame that is used more than
     once and unpersists it on exit."""

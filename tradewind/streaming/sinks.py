@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import session_conf
+
 BATCH_COL = "batch_id"
 
 
@@ -58,10 +60,20 @@ def batch_writer(path: str, partition_by: Sequence[str] = (), fmt: str = "parque
     return write
 
 
+def _start(writer, df: DataFrame, state_partitions: int | None) -> StreamingQuery:
+    """Start a stream. ``state_partitions`` fixes the number of state-store
+    partitions of a stateful query; Spark records it in the checkpoint at
+    the first start, so it cannot change later."""
+    if not state_partitions:
+        return writer.start()
+    with session_conf(df.sparkSession, {"spark.sql.shuffle.partitions": str(state_partitions)}):
+        return writer.start()
+
+
 def start_batch_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                      partition_by: Sequence[str] = (), trigger: dict | None = None,
                      on_batch: Callable[[int, int], None] | None = None,
-                     query_name: str | None = None) -> StreamingQuery:
+                     query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Run a streaming frame into ``batch_writer`` (any output mode)."""
     w = (df.writeStream.outputMode(output_mode)
            .option("checkpointLocation", checkpoint)
@@ -70,11 +82,12 @@ def start_batch_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str
         w = w.queryName(query_name)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    return _start(w, df, state_partitions)
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
-                    fmt: str = "parquet", trigger: dict | None = None) -> StreamingQuery:
+                    fmt: str = "parquet", trigger: dict | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """K3 with Spark's exactly-once file sink (append mode only).
 
     Streaming plans run without AQE, so no rebalance here: every task writes
@@ -87,7 +100,7 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
         w = w.partitionBy(*partition_by)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    return _start(w, df, state_partitions)
 
 
 def start_console_sink(df: DataFrame, output_mode: str = "update", truncate: bool = False,
