@@ -56,3 +56,35 @@ def test_inline_trader_lookup_with_sample_trades(spark):
     matched = joined.filter(F.col("trader_name").isNotNull()).count()
     assert matched == trades.filter(F.col("trader_id").isin(ids)).count()
     assert ops.unmatched(trades, lk).count() == trades.count() - matched
+
+
+def test_hot_key_third_of_rows(spark):
+    """One trader holds a third of all trades: AQE splits the hot partition
+    of the shuffle join (thresholds lowered for the test), salting spreads
+    it, and both give the broadcast join's rows."""
+    from pyspark.sql import functions as F
+    n = 30000
+    trades = spark.range(0, n, 1, 8).select(
+        F.col("id").alias("trade_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997).alias("trader_id"),
+        (F.col("id") % 1000).cast("double").alias("amount_usd"))
+    lookup = spark.range(0, 997, 1, 4).select(F.col("id").alias("trader_id"),
+                                              F.concat(F.lit("name"), F.col("id")).alias("trader_name"))
+    expected = ops.lookup_join(trades, lookup, "trader_id").agg(
+        F.count(F.lit(1)), F.sum("trade_id"), F.count("trader_name")).first()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096"}
+    from tradewind.session import session_conf
+    with session_conf(spark, conf):
+        shuffled = ops.lookup_join(trades, lookup, "trader_id", max_broadcast_rows=10)
+        got = shuffled.agg(F.count(F.lit(1)), F.sum("trade_id"), F.count("trader_name")).first()
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        shuffled.collect()  # finalises this frame's own adaptive plan
+        final = shuffled._jdf.queryExecution().executedPlan().toString()
+        salted = ops.lookup_join(trades, lookup, "trader_id", max_broadcast_rows=10, salt_buckets=16).agg(
+            F.count(F.lit(1)), F.sum("trade_id"), F.count("trader_name")).first()
+    assert tuple(got) == tuple(expected) == tuple(salted)
+    assert "SortMergeJoin" in plan
+    assert "skew=true" in final
