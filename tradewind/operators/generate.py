@@ -140,7 +140,8 @@ LOCAL_INDEX_MAX_ROWS = 100_000
 _IDX = "idx"
 
 
-def dense_index(df: DataFrame, order: Sequence[Column], max_local_rows: int = LOCAL_INDEX_MAX_ROWS) -> DataFrame:
+def dense_index(df: DataFrame, order: Sequence[Column], max_local_rows: int = LOCAL_INDEX_MAX_ROWS,
+                size: int | None = None) -> DataFrame:
     """Add ``idx`` = 0, 1, 2, ... in ``order`` (a total order over ``df``).
 
     A list proven small is numbered with one window. A larger one is range
@@ -149,8 +150,10 @@ def dense_index(df: DataFrame, order: Sequence[Column], max_local_rows: int = LO
     (a proven bound), so it is the only thing broadcast. The range split is
     checkpointed (reliably, to ``spark.checkpoint.dir``) before it is used
     twice, so both uses see the same partition ids even if a task reruns.
+    ``size``, when the caller already knows the row count, skips the check.
     """
-    if is_small(df, max_local_rows):
+    small = size <= max_local_rows if size is not None else is_small(df, max_local_rows)
+    if small:
         return df.withColumn(_IDX, F.row_number().over(Window.orderBy(*order)) - 1)
     pid = "__pid"
     ranged = df.repartitionByRange(*order).withColumn(pid, F.spark_partition_id()).checkpoint()
@@ -164,46 +167,61 @@ def dense_index(df: DataFrame, order: Sequence[Column], max_local_rows: int = LO
             .drop(pid, "__local", "__offset"))
 
 
-def value_profile(history: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Value counts of several columns in one scan: (kind, s, n, count).
+def value_profile(history: DataFrame, columns: dict[str, str], flag_col: str | None = None,
+                  time_col: str | None = None, time_format: str = TXN_TIME) -> DataFrame:
+    """Value counts of several columns in one scan: (kind, s, n, count, ...).
 
     Each row is exploded into one (kind, value) pair per column, so a single
     partial + final aggregation covers all columns. ``n`` keeps an integral
     value's number for numeric tie-breaking, ``s`` its text. Nulls are
     excluded, as the reference's value counts do.
+
+    With ``flag_col`` / ``time_col`` every row also yields one ``kind =
+    'all'`` pair carrying the 0/1 flag and the parsed time (parsed once per
+    row, before the explode), so the label rate (``flag_sum / flag_n``) and
+    the latest time (``max_time``) come out of the same scan.
     """
     pairs = []
     for kind, col in columns.items():
         c = F.col(col)
         integral = history.schema[col].dataType.simpleString() in ("int", "bigint", "smallint", "tinyint")
         pairs.append(F.struct(F.lit(kind).alias("kind"), c.cast("string").alias("s"),
-                              (c.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("n")))
-    exploded = history.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+                              (c.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("n"),
+                              F.lit(None).cast("bigint").alias("flag"), F.lit(None).cast("timestamp").alias("t")))
+    base = history
+    with_facts = flag_col is not None or time_col is not None
+    if with_facts:
+        base = history.withColumns({
+            "__flag": F.col(flag_col).cast("bigint") if flag_col else F.lit(None).cast("bigint"),
+            "__t": F.try_to_timestamp(F.col(time_col), F.lit(time_format)) if time_col
+            else F.lit(None).cast("timestamp")})
+        pairs.append(F.struct(F.lit("all").alias("kind"), F.lit("").alias("s"), F.lit(None).cast("bigint").alias("n"),
+                              F.col("__flag").alias("flag"), F.col("__t").alias("t")))
+    exploded = base.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
     return (exploded.filter(F.col("s").isNotNull()).groupBy("kind", "s", "n")
-            .agg(F.count(F.lit(1)).alias("count")))
+            .agg(F.count(F.lit(1)).alias("count"), F.sum("flag").alias("flag_sum"),
+                 F.count("flag").alias("flag_n"), F.max("t").alias("max_time")))
 
 
-def _ranked(profile: DataFrame, kind: str, top_n: int | None) -> DataFrame:
+def _ranked(profile: DataFrame, kind: str, size: int, top_n: int | None) -> DataFrame:
     """The values of one kind indexed 0.. by frequency (ties by value)."""
     order = [F.col("count").desc(), F.col("n").asc(), F.col("s").asc()]
     vals = profile.filter(F.col("kind") == kind)
-    if top_n:
+    if top_n and top_n < size:
         vals = vals.orderBy(*order).limit(top_n)
-    return dense_index(vals, order).select(F.col(_IDX), "s", "n")
+    return dense_index(vals, order, size=size).select(F.col(_IDX), "s", "n")
 
 
 def _pick(rows: DataFrame, ids: Column, seed: int, salt: int, values: DataFrame,
-          size: Column, out: str, bound: int | None) -> DataFrame:
-    """Join the value at ``uniform % size`` of an indexed list.
-
-    Broadcast only when the list is proven small (``bound`` from
-    construction, else a bounded count); otherwise a shuffle join on the
-    index, whose values are uniform and so never skewed.
-    """
+          size: int, out: str) -> DataFrame:
+    """Join the value at ``uniform % size`` of an indexed list of ``size``
+    rows: broadcast when ``size`` is within the local bound, otherwise a
+    shuffle join on the index, whose values are uniform and never skewed.
+    An empty list gives null."""
     key = f"__{out}_idx"
-    rows = rows.withColumn(key, uniform_int(ids, seed, salt) % size)
+    rows = rows.withColumn(key, uniform_int(ids, seed, salt) % F.lit(max(size, 1)))
     v = values.withColumnRenamed(_IDX, key).withColumnRenamed(values.columns[-1], out)
-    small = (bound is not None and bound <= LOCAL_INDEX_MAX_ROWS) or is_small(v, LOCAL_INDEX_MAX_ROWS)
+    small = size <= LOCAL_INDEX_MAX_ROWS
     return rows.join(F.broadcast(v) if small else v, key, "left").drop(key)
 
 
@@ -225,27 +243,31 @@ def profiled_transactions(ids: DataFrame, history: DataFrame, id_col: str = "id"
     # folder and every later use -- size checks, indexing, joins -- reads
     # that instead of rescanning the history.
     profile = value_profile(history, {"bank": "from_bank", "currency": "receiving_currency",
-                                      "format": "payment_format"}).checkpoint()
-    banks = _ranked(profile, "bank", top_banks).select(_IDX, F.col("n").cast("int").alias("bank"))
-    currencies = _ranked(profile, "currency", None).select(_IDX, F.col("s").alias("currency"))
-    formats = _ranked(profile, "format", None).select(_IDX, F.col("s").alias("fmt"))
-    n_banks = banks.agg(F.count(F.lit(1))).scalar()
-    n_cur = currencies.agg(F.count(F.lit(1))).scalar()
-    n_fmt = formats.agg(F.count(F.lit(1))).scalar()
-    # Label rate and latest time in one aggregate (one scalar subquery).
-    facts = history.agg(F.struct(
-        F.avg(F.col("is_laundering_flag").cast("double")).alias("rate"),
-        F.max(F.try_to_timestamp(F.col("ts"), F.lit(TXN_TIME))).alias("as_of"))).scalar()
+                                      "format": "payment_format"},
+                            flag_col="is_laundering_flag", time_col="ts").checkpoint()
+    # The three list sizes in one small job over the checkpointed profile.
+    sizes = profile.agg(*[F.count_if(F.col("kind") == k).alias(k)
+                          for k in ("bank", "currency", "format")]).first()
+    n_banks = min(sizes["bank"], top_banks) if top_banks else sizes["bank"]
+    n_cur, n_fmt = sizes["currency"], sizes["format"]
+    banks = _ranked(profile, "bank", n_banks, top_banks).select(_IDX, F.col("n").cast("int").alias("bank"))
+    currencies = _ranked(profile, "currency", n_cur, None).select(_IDX, F.col("s").alias("currency"))
+    formats = _ranked(profile, "format", n_fmt, None).select(_IDX, F.col("s").alias("fmt"))
+    # Label rate and latest time from the profile's 'all' row: one scalar
+    # subquery over the small checkpointed table, no further history scan.
+    facts = profile.filter(F.col("kind") == "all").agg(F.struct(
+        (F.sum("flag_sum").cast("double") / F.sum("flag_n")).alias("rate"),
+        F.max("max_time").alias("as_of"))).scalar()
     rate = facts.getField("rate")
     if as_of is None:
         as_of = facts.getField("as_of")
 
     rows = ids.select(i)
-    rows = _pick(rows, i, seed, 1, banks, n_banks, "from_bank", top_banks)
-    rows = _pick(rows, i, seed, 2, banks, n_banks, "to_bank", top_banks)
-    rows = _pick(rows, i, seed, 6, currencies, n_cur, "receiving_currency", None)
-    rows = _pick(rows, i, seed, 7, currencies, n_cur, "payment_currency", None)
-    rows = _pick(rows, i, seed, 8, formats, n_fmt, "payment_format", None)
+    rows = _pick(rows, i, seed, 1, banks, n_banks, "from_bank")
+    rows = _pick(rows, i, seed, 2, banks, n_banks, "to_bank")
+    rows = _pick(rows, i, seed, 6, currencies, n_cur, "receiving_currency")
+    rows = _pick(rows, i, seed, 7, currencies, n_cur, "payment_currency")
+    rows = _pick(rows, i, seed, 8, formats, n_fmt, "payment_format")
     amount = uniform_cents(i, seed, 5, 5, 50000)
     minutes = uniform_between(i, seed, 10, 0, minutes_back)
     flagged = uniform_int(i, seed, 9).cast("double") < rate * F.lit(float(MODULUS))
