@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hex_id, padded_id
 from .joins import is_small
-from .stats import frequency_profile
 
 MODULUS = 2147483647          # 2^31 - 1; every product below stays under 2^63
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
