@@ -103,9 +103,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/ABFS) visible to every executor")
     d = tempfile.mkdtemp(prefix="tradewind-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
-    return spark.sparkContext.getCheckpointDir() or d
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir() or d
+    except Exception:  # no SparkContext in this client (e.g. Spark Connect)
+        pass
+    try:
+        spark.conf.set("spark.checkpoint.dir", d)
+    except Exception:  # some deployments refuse to change it at run time
+        pass
+    return d
 
 
 class session_conf:
