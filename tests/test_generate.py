@@ -58,3 +58,11 @@ def test_profiled_uses_profile(spark):
     currencies = {r.receiving_currency for r in hist.select("receiving_currency").distinct().collect()}
     assert {r.receiving_currency for r in got} <= currencies
     assert all(r.amount_paid == r.amount_received and 5 <= r.amount_paid <= 50000 for r in got)
+
+
+def test_profiled_top_banks_limit(spark):
+    hist = views.transactions(spark, SF_SMALL)
+    top = {r.from_bank for r in hist.groupBy("from_bank").count()
+           .orderBy(F.desc("count"), "from_bank").limit(3).collect()}
+    out = gen.profiled_transactions(spark.range(0, 500, 1, 2), hist, top_banks=3).collect()
+    assert {r.from_bank for r in out} == top and {r.to_bank for r in out} == top

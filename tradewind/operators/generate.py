@@ -202,13 +202,15 @@ def value_profile(history: DataFrame, columns: dict[str, str], flag_col: str | N
                  F.count("flag").alias("flag_n"), F.max("t").alias("max_time")))
 
 
-def _ranked(profile: DataFrame, kind: str, size: int, top_n: int | None) -> DataFrame:
-    """The values of one kind indexed 0.. by frequency (ties by value)."""
+def _ranked(profile: DataFrame, kind: str, total: int, top_n: int | None) -> tuple[DataFrame, int]:
+    """The values of one kind indexed 0.. by frequency (ties by value),
+    keeping the ``top_n`` most frequent of ``total``; returns (list, size)."""
     order = [F.col("count").desc(), F.col("n").asc(), F.col("s").asc()]
     vals = profile.filter(F.col("kind") == kind)
-    if top_n and top_n < size:
-        vals = vals.orderBy(*order).limit(top_n)
-    return dense_index(vals, order, size=size).select(F.col(_IDX), "s", "n")
+    size = total
+    if top_n and top_n < total:
+        vals, size = vals.orderBy(*order).limit(top_n), top_n
+    return dense_index(vals, order, size=size).select(F.col(_IDX), "s", "n"), size
 
 
 def _pick(rows: DataFrame, ids: Column, seed: int, salt: int, values: DataFrame,
@@ -247,11 +249,12 @@ def profiled_transactions(ids: DataFrame, history: DataFrame, id_col: str = "id"
     # The three list sizes in one small job over the checkpointed profile.
     sizes = profile.agg(*[F.count_if(F.col("kind") == k).alias(k)
                           for k in ("bank", "currency", "format")]).first()
-    n_banks = min(sizes["bank"], top_banks) if top_banks else sizes["bank"]
-    n_cur, n_fmt = sizes["currency"], sizes["format"]
-    banks = _ranked(profile, "bank", n_banks, top_banks).select(_IDX, F.col("n").cast("int").alias("bank"))
-    currencies = _ranked(profile, "currency", n_cur, None).select(_IDX, F.col("s").alias("currency"))
-    formats = _ranked(profile, "format", n_fmt, None).select(_IDX, F.col("s").alias("fmt"))
+    banks, n_banks = _ranked(profile, "bank", sizes["bank"], top_banks)
+    currencies, n_cur = _ranked(profile, "currency", sizes["currency"], None)
+    formats, n_fmt = _ranked(profile, "format", sizes["format"], None)
+    banks = banks.select(_IDX, F.col("n").cast("int").alias("bank"))
+    currencies = currencies.select(_IDX, F.col("s").alias("currency"))
+    formats = formats.select(_IDX, F.col("s").alias("fmt"))
     # Label rate and latest time from the profile's 'all' row: one scalar
     # subquery over the small checkpointed table, no further history scan.
     facts = profile.filter(F.col("kind") == "all").agg(F.struct(
