@@ -187,3 +187,33 @@ def test_table_stream_equals_batch(spark, tmp_path):
     key = lambda r: tuple(repr(x) for x in r)
     assert sorted(map(tuple, got.select(*batch.columns).collect()), key=key) == \
         sorted(map(tuple, batch.collect()), key=key)
+
+
+def _run_modes(spark, tmp_path, mode):
+    log = _write_batches(spark, str(tmp_path / mode))
+    agg = st.trade_windows(st.read_message_stream(spark, log, max_files_per_trigger=1),
+                           sort=(mode == "complete"))
+    outputs = []
+
+    def collect(df, batch_id):
+        rows = [(_hm(r.window.start), r.exchange, r.trade_count, r.total_volume) for r in df.collect()]
+        if rows:
+            outputs.append(sorted(rows, key=lambda r: (r[0], r[1] or "")))
+
+    q = (agg.writeStream.outputMode(mode).foreachBatch(collect)
+         .option("checkpointLocation", str(tmp_path / f"ck-{mode}")).trigger(availableNow=True).start())
+    st.run_until_done(q)
+    return outputs
+
+
+def test_lateness_golden_append(spark, tmp_path):
+    assert _run_modes(spark, tmp_path, "append") == [
+        [("08:00", "B", 4, 14.0), ("08:01", None, 1, 4.0), ("08:01", "O", 1, 3.0)],
+    ]
+
+
+def test_lateness_golden_complete_keeps_late_rows(spark, tmp_path):
+    outs = _run_modes(spark, tmp_path, "complete")
+    assert [len(o) for o in outs[:4]] == [3, 4, 5, 6]
+    assert ("08:02", "B", 1, 1.0) in outs[3]       # the late row is kept
+    assert ("08:00", "B", 4, 14.0) in outs[3]
