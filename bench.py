@@ -18,6 +18,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Observation  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from tradewind.plans import QUERIES  # noqa: E402
 from tradewind.session import local_session  # noqa: E402
 
@@ -51,12 +54,16 @@ def main() -> None:
                           extra=extra)
     spark.sparkContext.setCheckpointDir(ckpt)
     times: dict[str, float] = {}
+    rows: dict[str, int] = {}
     for name in HEADLINE:
         runs = []
         for _ in range(RUNS):
+            obs = Observation(f"rows_{name}")   # counted by the timed job itself
             t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            (QUERIES[name](spark, sf_dir).observe(obs, F.count(F.lit(1)).alias("n"))
+             .write.format("noop").mode("overwrite").save())
             runs.append(time.perf_counter() - t0)
+            rows[name] = obs.get["n"]
         times[name] = round(statistics.median(runs), 3)
     spark.stop()
     sf = os.path.basename(sf_dir).removeprefix("sf")
@@ -65,6 +72,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "rows": rows,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": RUNS,
