@@ -3,7 +3,7 @@
 Strategy, chosen per call:
 
 * the lookup is broadcast only after a bounded check proves it small
-  (``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows);
+  (``is_small``: an incremental ``take`` of at most ``max_rows + 1`` rows);
 * otherwise it is a shuffle join. A hot key (one trader with a third of all
   trades) is handled by AQE's skew-join split, which supports the streamed
   (left) side of left-outer and left-anti joins, or -- with
@@ -24,8 +24,14 @@ _SALT = "__salt"
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (bounded check).
+
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops as soon as ``max_rows + 1`` rows are found, so a large frame is
+    rejected after reading about one split; only a constant column of at
+    most ``max_rows + 1`` rows reaches the driver.
+    """
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
 def _salted(left: DataFrame, lookup: DataFrame, key: str, buckets: int):
