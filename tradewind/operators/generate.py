@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hex_id, padded_id
+from ..session import ensure_checkpoint_dir
 from .joins import is_small
 
 MODULUS = 2147483647          # 2^31 - 1; every product below stays under 2^63
@@ -155,6 +156,7 @@ def dense_index(df: DataFrame, order: Sequence[Column], max_local_rows: int = LO
     if small:
         return df.withColumn(_IDX, F.row_number().over(Window.orderBy(*order)) - 1)
     pid = "__pid"
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(*order).withColumn(pid, F.spark_partition_id()).checkpoint()
     local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy(pid).orderBy(*order)) - 1)
     sizes = ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
@@ -243,6 +245,7 @@ def profiled_transactions(ids: DataFrame, history: DataFrame, id_col: str = "id"
     # small (distinct values only), so it is checkpointed to the shared
     # folder and every later use -- size checks, indexing, joins -- reads
     # that instead of rescanning the history.
+    ensure_checkpoint_dir(history.sparkSession)
     profile = value_profile(history, {"bank": "from_bank", "currency": "receiving_currency",
                                       "format": "payment_format"},
                             flag_col="is_laundering_flag", time_col="ts").checkpoint()
