@@ -109,7 +109,10 @@ def money_sum(c) -> Column:
     """Order-independent money total: sum in DECIMAL(18,2), returned as double.
 
     A double sum depends on the order partitions are combined in; a decimal
-    sum does not, so the result is identical on 8 or 8000 tasks.
+    sum does not, so the result is identical on 8 or 8000 tasks. A NaN
+    amount casts to null and is not counted (decode already maps NaN to
+    null); an amount of 1e16 or more cannot be money and fails the cast
+    under ANSI mode rather than being dropped silently.
     """
     return F.sum(_col(c).cast("decimal(18,2)")).cast("double")
 
