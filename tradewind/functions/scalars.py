@@ -120,4 +120,4 @@ def money_sum(c) -> Column:
 def money_avg(c) -> Column:
     """Mean of a money column built on ``money_sum``; null when no values."""
     x = _col(c)
-    return money_sum(x) / F.nullif(F.count(x), F.lit(0))
+    return money_sum(x) / F.nullif(F.count(x.cast("decimal(18,2)")), F.lit(0))
