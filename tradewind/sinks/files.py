@@ -44,7 +44,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
     REBALANCE hint: each task then writes few directories (without it every
     task writes a file into every directory -- millions of small files at
     scale), and AQE splits an oversized directory (one tier can hold most
-    rows) into several tasks and merges tiny ones.
+    rows) into several tasks and merges tiny ones. The price is one shuffle
+    of the written rows; with ``rebalance=False`` there is no shuffle and
+    each task writes at most one file per directory it holds rows for
+    (Spark sorts by the partition columns inside the task first).
     """
     if rebalance:
         df = df.hint("rebalance", *partition_by)
