@@ -103,3 +103,10 @@ def test_stream_adds_processing_time(spark, tmp_path):
     s = st.enriched_transaction_stream(st.read_message_stream(spark, log))
     assert s.isStreaming and dict(s.dtypes)["processing_time"] == "timestamp"
     assert {"amount_category", "event_timestamp", "hour_of_day", "day_of_week", "is_laundering"} <= set(s.columns)
+
+
+def test_quoted_nan_decodes_then_normalises(spark):
+    import math
+    raw = _decode(spark, ['{"ts":"a","amount":"NaN"}'], normalize_nan=False)
+    assert math.isnan(raw[0].amount)
+    assert _decode(spark, ['{"ts":"a","amount":"NaN"}'])[0].amount is None
