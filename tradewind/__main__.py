@@ -29,7 +29,7 @@ def _show(frames: dict) -> None:
         df.show(5 if name in ROW_LEVEL else 50, truncate=False)
 
 
-def main(argv: list[str] | None = None) -> None:
+def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tradewind")
     sub = p.add_subparsers(dest="job", required=True)
     tb = sub.add_parser("trade-batch")
@@ -52,7 +52,11 @@ def main(argv: list[str] | None = None) -> None:
     xt.add_argument("--output-dir", required=True)
     xt.add_argument("--checkpoint", required=True)
     xt.add_argument("--batch-duration", type=int, default=30)
-    a = p.parse_args(argv)
+    return p
+
+
+def main(argv: list[str] | None = None) -> None:
+    a = build_parser().parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tradewind-{a.job}").getOrCreate()
     if a.job == "trade-batch":
