@@ -59,18 +59,22 @@ def range_count(spark, sf_dir):
 # -- projections, filters, cleaning -----------------------------------------
 
 def whale_trades(spark, sf_dir):
+    """F1 + P1: trades above 100,000, projected to id, exchange, amount."""
     return ops.whale_trades(views.trades(spark, sf_dir))
 
 
 def null_counts(spark, sf_dir):
+    """null amounts and null exchanges in one scan."""
     return ops.null_counts(views.trades(spark, sf_dir), ["amount_usd", "exchange"])
 
 
 def quality_report(spark, sf_dir):
+    """original, cleaned and removed rows plus null counts, one aggregate."""
     return ops.quality_report(views.trades(spark, sf_dir))
 
 
 def clean_trades(spark, sf_dir):
+    """F4 + X3: complete trades with the whale flag."""
     return ops.clean_trades(views.trades(spark, sf_dir))
 
 
@@ -87,29 +91,35 @@ def head_n(spark, sf_dir):
 # -- aggregates --------------------------------------------------------------
 
 def exchange_stats(spark, sf_dir):
+    """A2 + O1 (flagship): per-exchange count, total, mean, max; largest total first."""
     return ops.exchange_stats(ops.clean_trades(views.trades(spark, sf_dir)))
 
 
 def top_exchange(spark, sf_dir):
+    """The exchange with the largest cleaned volume."""
     return ops.top_exchange(exchange_stats(spark, sf_dir))
 
 
 def trade_summary(spark, sf_dir):
+    """Total, cleaned and whale trades and the top exchange, one scan."""
     return ops.trade_summary(views.trades(spark, sf_dir))
 
 
 def trade_count(spark, sf_dir):
+    """A1 over trades."""
     return ops.row_count(views.trades(spark, sf_dir))
 
 
 # -- joins -------------------------------------------------------------------
 
 def trader_join(spark, sf_dir):
+    """Cleaned trades left-joined to the five-trader lookup."""
     return ops.lookup_join(ops.clean_trades(views.trades(spark, sf_dir)),
                            views.traders(spark, sf_dir), "trader_id", "left")
 
 
 def unmatched_trades(spark, sf_dir):
+    """Cleaned trades whose trader is not in the lookup (anti join)."""
     return ops.unmatched(ops.clean_trades(views.trades(spark, sf_dir)),
                          views.traders(spark, sf_dir), "trader_id",
                          ["trade_id", "trader_id", "amount_usd"])
@@ -126,30 +136,37 @@ def trader_join_full(spark, sf_dir):
 # -- transactions ------------------------------------------------------------
 
 def enriched(spark, sf_dir) -> DataFrame:
+    """The enriched transactions view."""
     return ops.enrich_transactions(views.transactions(spark, sf_dir))
 
 
 def enriched_transactions(spark, sf_dir):
+    """Every transaction enriched."""
     return enriched(spark, sf_dir)
 
 
 def laundering_counts(spark, sf_dir):
+    """A3: rows per laundering flag."""
     return ops.group_count(enriched(spark, sf_dir), "is_laundering")
 
 
 def laundering_share(spark, sf_dir):
+    """A4: rows and percent of all rows per laundering flag."""
     return ops.share_of_total(enriched(spark, sf_dir), "is_laundering")
 
 
 def tier_stats(spark, sf_dir):
+    """A5: count, mean and total amount per tier."""
     return ops.tier_stats(enriched(spark, sf_dir))
 
 
 def weekday_stats(spark, sf_dir):
+    """A6 + O2: count and total amount per weekday, by weekday."""
     return ops.weekday_stats(enriched(spark, sf_dir))
 
 
 def hour_stats(spark, sf_dir):
+    """A7 + O2: count per hour, by hour, at most 24 rows."""
     return ops.hour_stats(enriched(spark, sf_dir))
 
 
@@ -161,6 +178,7 @@ def amount_describe(spark, sf_dir):
 
 
 def transaction_count(spark, sf_dir):
+    """A1 over transactions."""
     return ops.row_count(views.transactions(spark, sf_dir))
 
 
@@ -170,14 +188,17 @@ def bank_profile(spark, sf_dir):
 
 
 def currency_profile(spark, sf_dir):
+    """A10: receiving currencies by frequency."""
     return ops.frequency_profile(views.transactions(spark, sf_dir), "receiving_currency")
 
 
 def format_profile(spark, sf_dir):
+    """A10: payment formats by frequency."""
     return ops.frequency_profile(views.transactions(spark, sf_dir), "payment_format")
 
 
 def label_rate(spark, sf_dir):
+    """Mean of the 0/1 laundering label."""
     return ops.label_rate(views.transactions(spark, sf_dir))
 
 
