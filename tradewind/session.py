@@ -50,6 +50,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Coalesce to the advisory size, not to keep every core busy.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
