@@ -1,8 +1,6 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,10 +48,3 @@ def text_batches(batch, columns, max_chars: int = 4_000_000):
 def crc32_mod(id_col: str, k: int):
     """crc32 of an id's decimal text, modulo ``k``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % k
-
-
-@contextlib.contextmanager
-def broadcast_value(spark: SparkSession, value):
-    """A broadcast variable for a value of proven bounded size."""
-    b = spark.sparkContext.broadcast(value)
-    yield b

@@ -1,10 +1,12 @@
 """Queries of this subpackage, by name, and their DuckDB SQL where it exists."""
 from tradewind.llm.fingerprint import op2_fingerprint
+from tradewind.llm.ngram_join import op3_ngram_jaccard
 from tradewind.llm.sharding import op1_sharding
 
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_fingerprint": op2_fingerprint,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
 }
 
 LLM_ORACLE_SQL = {}
