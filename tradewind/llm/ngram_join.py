@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradewind.llm.byte_spans import SPACE, ByteSpans, mix
 from tradewind.llm.common import materialize, read, shuffle_partitions, text_batches
 from tradewind.llm.graph import components
 
@@ -37,48 +38,22 @@ WINDOW = 64      # nodes a node is compared with on each visit to a hot bucket
 VISITS = 3       # hot buckets that a node visits, largest first
 PARTS = 64       # hash classes of the suffix filter
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
-_tables = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def _powers(n: int):
-    while len(_tables[0]) <= n:
-        m = len(_tables[0])
-        for i, base in enumerate((_BASE, _INV)):
-            _tables[i] = np.concatenate([_tables[i], _tables[i] * np.uint64(pow(base, m, 1 << 64))])
-    return _tables
-
-
-def _mix(x):
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingle_sets(texts: list[str | None], n: int = N) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text: words are runs of other
     bytes than ASCII white space, A-Z lower-cased; a text of fewer than ``n``
     words is one shingle; one without words, or null, has none."""
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
-    data = np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)
+    spans = ByteSpans(b" ".join(raw) + b" ")
     at = np.cumsum([0] + [len(r) + 1 for r in raw])
-    power, inverse = _powers(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
-    gap = _SPACE[data]
-    start = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
-    stop = np.flatnonzero(~gap & np.r_[gap[1:], True]) + 1
-    words = _mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
+    start, stop = spans.runs(~SPACE[spans.data])
+    words = spans.hash(start, stop)
     first = np.searchsorted(start, at)
     grams = np.zeros(len(words), dtype=np.uint64)
     steps = [np.uint64(2 * pow(3, 37 + i, 1 << 62) + 1) for i in range(n)]
     full = max(0, len(words) - n + 1)
     for i in range(n):
         grams[:full] += words[i:i + full] * steps[i]
-    grams = _mix(grams)
+    grams = mix(grams)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= n:
@@ -87,7 +62,7 @@ def shingle_sets(texts: list[str | None], n: int = N) -> list[np.ndarray]:
             short = np.array([b - a], dtype=np.uint64)
             for i in range(a, b):
                 short += words[i:i + 1] * steps[i - a]
-            out.append(_mix(short) if b > a else short[:0])
+            out.append(mix(short) if b > a else short[:0])
     return out
 
 
@@ -107,7 +82,7 @@ def _signed(x) -> np.ndarray:
 
 
 def _node(s: np.ndarray) -> int:
-    return int(_signed(_mix(_mix(s).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(s))))[0])
+    return int(_signed(mix(mix(s).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(s))))[0])
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -1,12 +1,16 @@
 """Queries of this subpackage, by name, and their DuckDB SQL where it exists."""
 from tradewind.llm.fingerprint import op2_fingerprint
+from tradewind.llm.langid import op4_language_id
 from tradewind.llm.ngram_join import op3_ngram_jaccard
 from tradewind.llm.sharding import op1_sharding
+from tradewind.llm.toxicity import op10_toxicity
 
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_fingerprint": op2_fingerprint,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_language_id": op4_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE_SQL = {}
