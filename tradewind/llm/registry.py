@@ -2,6 +2,7 @@
 from tradewind.llm.fingerprint import op2_fingerprint
 from tradewind.llm.langid import op4_language_id
 from tradewind.llm.ngram_join import op3_ngram_jaccard
+from tradewind.llm.packing import op9_packing
 from tradewind.llm.sharding import op1_sharding
 from tradewind.llm.toxicity import op10_toxicity
 
@@ -10,6 +11,7 @@ LLM_QUERIES = {
     "op2_fingerprint": op2_fingerprint,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_id": op4_language_id,
+    "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
 
