@@ -1,4 +1,5 @@
 """Queries of this subpackage, by name, and their DuckDB SQL where it exists."""
+from tradewind.llm.bpe import op8_byte_bpe
 from tradewind.llm.fingerprint import op2_fingerprint
 from tradewind.llm.langid import op4_language_id
 from tradewind.llm.ngram_join import op3_ngram_jaccard
@@ -11,6 +12,7 @@ LLM_QUERIES = {
     "op2_fingerprint": op2_fingerprint,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_id": op4_language_id,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
