@@ -1,10 +1,79 @@
-"""Training-data pipeline over ``documents``."""
-STAGES = []
+"""Training-data pipeline over ``documents``: language identification, toxicity,
+n-gram Jaccard deduplication, packing.
+
+Every stage works on what the one before kept, written as Parquet and reread.
+All but the last return the columns of ``documents``.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tradewind.llm.common import materialize, read
+from tradewind.llm.langid import UNKNOWN, fit_languages, identify
+from tradewind.llm.ngram_join import jaccard_components
+from tradewind.llm.packing import pack_documents
+from tradewind.llm.toxicity import fit_toxicity, score
+
+#: Mean marginal of its language below which a document has none. Four equal
+#: shares would be 0.25.
+LEAST_SCORE = 0.3
+
+
+def _rows(found, docs, keep):
+    """The documents whose row in ``found`` meets ``keep``; the operator's own
+    columns come before the carried ones, whatever their names."""
+    own = len(found.columns) - len(docs.columns)
+    names = [*found.columns[:own], *[f"_kept_{i}" for i in range(len(docs.columns))]]
+    return found.toDF(*names).where(keep).select(*[F.col(f"_kept_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def language(spark, docs, sf_dir):
+    """Documents in a language: not ``und`` and of ``LEAST_SCORE`` or more."""
+    found = identify(docs, fit_languages(docs), carry=docs.columns)
+    return _rows(found, docs, (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+
+
+def toxicity(spark, docs, sf_dir):
+    """Documents that are not predicted toxic."""
+    found = score(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")), carry=docs.columns)
+    return _rows(found, docs, F.col("predicted") == 0)
+
+
+def dedup(spark, docs, sf_dir):
+    """One row of each near-duplicate group: of the smallest doc_id, and if
+    that has several texts in the group, of the smallest text hash. Documents
+    without words and rows without a doc_id stay."""
+    groups = jaccard_components(docs).where("id is not null and component is not null").select("id", "text_hash", "component")
+    first = groups.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("first"))
+    drop = groups.join(first, "component").where((F.col("id") != F.col("first.id")) | (F.col("text_hash") != F.col("first.text_hash")))
+    drop = drop.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    text = F.xxhash64(docs["text"])
+    kept = docs.join(drop, (docs["doc_id"] == F.col("_id")) & (text == F.col("_hash")), "left_anti")
+    again = groups.groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")
+    again = again.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    if again.isEmpty():
+        return kept
+    match = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    one = kept.join(again, match, "left_semi").withColumn("_nth", F.row_number().over(W.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")))
+    return kept.join(again, match, "left_anti").unionByName(one.where("_nth = 1").drop("_nth"))
+
+
+def packing(spark, docs, sf_dir):
+    """Pieces of all remaining documents in sequences of at most 1024 tokens."""
+    out = pack_documents(docs)
+    return out.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("language id", language), ("toxicity", toxicity), ("n-gram jaccard join", dedup), ("packing", packing)]
+
+#: SQL cannot express the two learned stages; tests hold ``run`` against a
+#: brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

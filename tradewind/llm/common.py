@@ -48,3 +48,17 @@ def text_batches(batch, columns, max_chars: int = 4_000_000):
 def crc32_mod(id_col: str, k: int):
     """crc32 of an id's decimal text, modulo ``k``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % k
+
+
+def carried(df: DataFrame, id_col: str, text_col: str, carry: list[str]):
+    """For an operator that adds columns to rows: ``df`` as ``id``, ``text``,
+    ``c0``, ``c1``, ...; the batch columns that hold ``carry``; the schema text of
+    what is carried, as ``k0``, ``k1``, ...; and columns that give them their own
+    names back. New names, so that no column of ``df`` clashes with the
+    operator's; the text travels once."""
+    source = ["text" if c == text_col else f"c{i}" for i, c in enumerate(carry)]
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                     *[F.col(c).alias(s) for c, s in zip(carry, source, strict=True) if s != "text"])
+    kinds = dict(rows.dtypes)
+    schema = "".join(f", k{i} {kinds[s]}" for i, s in enumerate(source))
+    return rows, source, schema, [F.col(f"k{i}").alias(c) for i, c in enumerate(carry)]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import crf
-from tradewind.llm.common import crc32_mod, read, text_batches
+from tradewind.llm.common import carried, crc32_mod, read, text_batches
 
 SAMPLE = 400          # documents a language
 SAMPLE_CHARS = 20_000  # of one sampled document
@@ -73,14 +73,17 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> crf.Model | None:
     return crf.fit(words, np.array(gold), labels)
 
 
-def identify(df: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(df: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text_col: str = "text",
+             carry: list[str] | None = None) -> DataFrame:
     """``id``, ``lang_pred``, ``score`` (mean marginal of that language, 0 to
     1), ``n_words`` long and ``langs`` (language -> words expected in it).
 
     A text that is null or has no letter, or any text without a model, is
     ``und`` with score 0. Ties go to the first language in order. Repeated
-    rows and null ids are answered like any others."""
+    rows and null ids are answered like any others. Columns in ``carry`` follow under their own names."""
     shared = df.sparkSession.sparkContext.broadcast(model)
+    rows, source, schema, named = carried(df, id_col, text_col, carry or [])
+    keep = [f"k{i}" for i in range(len(named))]
 
     def run(batches):
         import pyarrow as pa
@@ -103,10 +106,11 @@ def identify(df: DataFrame, model: crf.Model | None, id_col: str = "doc_id", tex
                 cols = list(zip(*rows, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()),
-                     pa.array([list(x.items()) for x in cols[3]], pa.map_(pa.string(), pa.float64()))], names=names)
+                     pa.array([list(x.items()) for x in cols[3]], pa.map_(pa.string(), pa.float64())),
+                     *[b.column(c) for c in source]], names=[*names, *keep])
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, lang_pred string, score double, n_words long, langs map<string,double>")
+    return rows.mapInArrow(run, "id long, lang_pred string, score double, n_words long, langs map<string,double>" + schema).select(
+        "id", "lang_pred", "score", "n_words", "langs", *named)
 
 
 def fit_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

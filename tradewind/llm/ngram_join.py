@@ -91,15 +91,14 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _nodes_and_counts(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """One pass: a row per document (``id``, ``jid``, ``n``, ``node``) and the
+    """One pass: a row per document (``id``, ``text_hash``, ``n``, ``node``) and the
     task's count table in slices (``slice``, ``counts``)."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"),
-                     F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))).alias("jid"), F.col(text_col).alias("text"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
 
     def run(batches):
         import pyarrow as pa
         counts = np.zeros(SLOTS, dtype=np.uint32)
-        names, kinds = ["id", "jid", "n", "node", "slice", "counts"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names, kinds = ["id", "text_hash", "n", "node", "slice", "counts"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
         def batch(*cols):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
@@ -111,13 +110,13 @@ def _nodes_and_counts(df: DataFrame, id_col: str, text_col: str, n: int) -> Data
                 if sets:
                     slots = np.concatenate(sets) % np.uint64(SLOTS)
                     counts += np.bincount(slots.astype(np.int64), minlength=SLOTS).astype(np.uint32)
-                yield batch(b.column("id").to_pylist(), b.column("jid").to_pylist(), [len(s) for s in sets],
+                yield batch(b.column("id").to_pylist(), b.column("text_hash").to_pylist(), [len(s) for s in sets],
                             [_node(s) for s in sets], none, none)
         if counts.any():
             none = [None] * SLICES
             yield batch(none, none, none, none, range(SLICES), [c.tobytes() for c in np.split(counts, SLICES)])
 
-    out = rows.mapInArrow(run, "id long, jid long, n long, node long, slice int, counts binary")
+    out = rows.mapInArrow(run, "id long, text_hash long, n long, node long, slice int, counts binary")
     return materialize(out, "ngram-nodes")
 
 
@@ -249,8 +248,9 @@ def _link_hot(visits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        n: int = N, percent: int = PERCENT) -> DataFrame:
     """Every row of ``df`` as ``id``, ``n_shingles`` long, ``component_id``
-    (smallest id reachable by links, its own included) and ``node`` (equal for
-    equal sets).
+    (smallest id reachable by links, its own included), ``text_hash`` (xxhash64
+    of the text) and ``component`` (names the component by a node; null for a
+    document without words).
 
     Documents without words are linked with nothing, each its own component. A
     null id keeps a row and never names a component (a component of null ids
@@ -296,14 +296,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not more.isEmpty():
         comp = components(edges.union(more))
 
-    ids = nodes.where("slice is null").select("id", "n", "node")
+    ids = nodes.where("slice is null").select("id", "text_hash", "n", "node")
     named = ids.where("n > 0").groupBy("node").agg(F.min("id").alias("first"))
     named = named.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = named.groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = named.join(lowest, "comp").select("node", "component_id")
+    named = named.join(lowest, "comp").select("node", "comp", "component_id")
     return (ids.join(named, "node", "left")
             .select("id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "node"))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+                    "text_hash", F.col("comp").alias("component")))
 
 
 def _sets_of(df: DataFrame, id_col: str, text_col: str, n: int, need: DataFrame) -> DataFrame:

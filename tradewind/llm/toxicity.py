@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import crf
-from tradewind.llm.common import crc32_mod, read, text_batches
+from tradewind.llm.common import carried, crc32_mod, read, text_batches
 from tradewind.llm.langid import SAMPLE_CHARS
 
 SAMPLE = 1200   # documents a class
@@ -117,14 +117,17 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return b
 
 
-def score(df: DataFrame, model: ToxicModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(df: DataFrame, model: ToxicModel | None, id_col: str = "doc_id", text_col: str = "text",
+          carry: list[str] | None = None) -> DataFrame:
     """``id``, ``score``, ``predicted`` (1 from ``THRESHOLD`` on) and ``spans``:
     code point starts and stops of the words tagged with marginal 0.5 or more.
 
     Texts that are null or without words get the score of no evidence;
     without a model every score is 0. Repeated rows and null ids are answered
-    like any others."""
+    like any others. Columns in ``carry`` follow under their own names."""
     shared = df.sparkSession.sparkContext.broadcast(model)
+    rows, source, schema, named = carried(df, id_col, text_col, carry or [])
+    keep = [f"k{i}" for i in range(len(named))]
 
     def run(batches):
         import pyarrow as pa
@@ -145,11 +148,11 @@ def score(df: DataFrame, model: ToxicModel | None, id_col: str = "doc_id", text_
                             spans[t].append({"start": int(point[w.start[i]] - base), "stop": int(point[w.stop[i]] - base)})
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array(scores, pa.float64()), pa.array((scores >= THRESHOLD).astype(np.int32), pa.int32()),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
-                    names=["id", "score", "predicted", "spans"])
+                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                     *[b.column(c) for c in source]], names=["id", "score", "predicted", "spans", *keep])
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, score double, predicted int, spans array<struct<start:long,stop:long>>")
+    return rows.mapInArrow(run, "id long, score double, predicted int, spans array<struct<start:long,stop:long>>" + schema).select(
+        "id", "score", "predicted", "spans", *named)
 
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
