@@ -1,7 +1,7 @@
+import pytest
 from pyspark.sql import types as T
 
-from tradewind.schemas import TRANSACTION_MESSAGE_SCHEMA
-from tradewind.sources.decode import decode_messages
+from tradewind.sources.decode import decode_messages, decode_transactions
 from tradewind.operators.enrich import enrich_transactions
 
 SCHEMA = T.StructType([
@@ -52,8 +52,8 @@ def test_bare_nan_kept_without_normalisation(spark):
 
 
 def test_empty_required_string_passes_then_parses_null(spark):
-    df = spark.createDataFrame([('{"ts":"","amount_received":5.0}',)], "value string")
-    out = enrich_transactions(decode_messages(df, TRANSACTION_MESSAGE_SCHEMA, "ts")).collect()
+    df = spark.createDataFrame([('{"Timestamp":"","Amount Received":5.0}',)], "value string")
+    out = enrich_transactions(decode_transactions(df)).collect()
     assert len(out) == 1 and out[0].event_timestamp is None and out[0].amount_category == "LOW"
 
 
@@ -77,6 +77,48 @@ def test_raw_csv_and_persisted(spark, tmp_path):
     assert (r.hour_of_day, r.day_of_week) == (0, 5)
 
 
+WIRE = (b'{"Timestamp": "2022/09/01 00:20", "From Bank": 10, "Account": "8000EBD30", "To Bank": 20, "Account.1": "8000EBD31", '
+        b'"Amount Received": 12000.5, "Receiving Currency": "Euro", "Amount Paid": 12000.5, "Payment Currency": "Euro", '
+        b'"Payment Format": "ACH", "Is Laundering": 1, "kafka_timestamp": "2026-01-01T00:00:00.000001"}')
+
+
+def test_wire_message_is_decoded(spark):
+    from tradewind.sources.decode import decode_report
+    from tradewind.schemas import TRANSACTION_WIRE_SCHEMA
+    rows = spark.createDataFrame([(bytearray(WIRE),), (bytearray(b'{"ts": "2022/09/01 00:20"}'),), (bytearray(b"{"),), (None,)], "value binary")
+    out = enrich_transactions(decode_transactions(rows)).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.ts, r.from_bank, r.from_account, r.to_bank, r.to_account) == ("2022/09/01 00:20", 10, "8000EBD30", 20, "8000EBD31")
+    assert (r.amount_received, r.payment_format, r.is_laundering, r.amount_category, r.hour_of_day) == (12000.5, "ACH", "Yes", "HIGH", 0)
+    assert tuple(decode_report(rows, TRANSACTION_WIRE_SCHEMA, "Timestamp").first()) == (4, 3)
+
+
+def test_wire_message_with_empty_text_for_a_number(spark):
+    rows = spark.createDataFrame([('{"Timestamp": "2022/09/01 00:20", "Amount Received": "", "Account": "A"}',)], "value string")
+    r = decode_transactions(rows).first()
+    assert r.amount_received is None and r.from_account == "A"
+
+
+@pytest.mark.parametrize("second", ["Account", "Account.1"])
+def test_csv_columns_are_found_by_name(spark, tmp_path, second):
+    from tradewind.sources import files as src
+    p = tmp_path / "raw.csv"
+    p.write_text(f"Amount Paid,Account,Is Laundering,From Bank,{second},To Bank,Amount Received,Payment Format,Timestamp,"
+                 "Receiving Currency,Payment Currency\n10,A1,0,1,B1,2,12000,ACH,2022/09/01 00:20,Euro,Yen\n")
+    r = src.read_raw_transactions_csv(spark, str(p)).first()
+    assert (r.ts, r.from_account, r.to_account, r.amount_received, r.amount_paid) == ("2022/09/01 00:20", "A1", "B1", 12000.0, 10.0)
+    assert (r.receiving_currency, r.payment_currency, r.from_bank, r.to_bank) == ("Euro", "Yen", 1, 2)
+
+
+def test_csv_without_a_column_is_refused(spark, tmp_path):
+    from tradewind.sources import files as src
+    p = tmp_path / "raw.csv"
+    p.write_text("Timestamp,From Bank\n2022/09/01 00:20,1\n")
+    with pytest.raises(ValueError, match="Account"):
+        src.read_raw_transactions_csv(spark, str(p))
+
+
 def test_kafka_options_and_ingest_stamp(spark):
     import json
     from tradewind.sources.kafka import kafka_options
@@ -89,7 +131,7 @@ def test_kafka_options_and_ingest_stamp(spark):
     df = spark.createDataFrame([("2022/09/01 00:20", 7, None)], "ts string, from_bank int, amount_received double")
     m = encode_transactions(df).first()
     body = json.loads(m.value)
-    assert m.key == "7" and "amount_received" not in body and body["from_bank"] == 7
+    assert m.key == "7" and "Amount Received" not in body and body["From Bank"] == 7
     assert len(body["kafka_timestamp"]) == 26 and body["kafka_timestamp"][10] == "T"
     assert encode_trades(df).first().key is None
 

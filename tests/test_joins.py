@@ -18,9 +18,9 @@ def _rows(df):
 
 def test_lookup_join_paths_agree(spark):
     t, lk = _trades(spark), _lookup(spark)
-    broadcast = ops.lookup_join(t, lk, "trader_id", "left")
-    shuffle = ops.lookup_join(t, lk, "trader_id", "left", max_broadcast_rows=1)
-    salted = ops.lookup_join(t, lk, "trader_id", "left", max_broadcast_rows=1, salt_buckets=5)
+    broadcast = ops.lookup_join(t, lk, "trader_id", "left", broadcast=True)
+    shuffle = ops.lookup_join(t, lk, "trader_id", "left")
+    salted = ops.lookup_join(t, lk, "trader_id", "left", salt_buckets=5)
     assert _rows(broadcast) == _rows(shuffle) == _rows(salted)
     # T3 has two lookup rows: its trades appear twice, as a left join does.
     n_t3 = t.filter("trader_id = 'T3'").count()
@@ -33,15 +33,16 @@ def test_unmatched_is_anti_join(spark):
     keys = {r.trader_id for r in un.select("trader_id").distinct().collect()}
     # A matched trader with a null name (T2) is not unmatched; a null key is.
     assert "T2" not in keys and None in keys and "T1" not in keys
-    salted = ops.unmatched(t, lk, "trader_id", max_broadcast_rows=1, salt_buckets=4)
+    salted = ops.unmatched(t, lk, "trader_id", salt_buckets=4)
     assert _rows(un) == _rows(salted.select("trade_id", "trader_id", "amount_usd"))
 
 
-def test_broadcast_only_when_small(spark):
+def test_broadcast_on_request(spark):
     t, lk = _trades(spark), _lookup(spark)
-    small_plan = ops.lookup_join(t, lk, "trader_id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in small_plan or "broadcast" in small_plan.lower()
-    assert ops.is_small(lk, 4) and not ops.is_small(lk, 3)
+    plan = ops.lookup_join(t, lk, "trader_id", broadcast=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    salted = ops.lookup_join(t, lk.hint("merge"), "trader_id", salt_buckets=4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in salted
 
 
 def test_inline_trader_lookup_with_sample_trades(spark):
@@ -78,12 +79,12 @@ def test_hot_key_third_of_rows(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096"}
     from tradewind.session import session_conf
     with session_conf(spark, conf):
-        shuffled = ops.lookup_join(trades, lookup, "trader_id", max_broadcast_rows=10)
+        shuffled = ops.lookup_join(trades, lookup, "trader_id")
         got = shuffled.agg(F.count(F.lit(1)), F.sum("trade_id"), F.count("trader_name")).first()
         plan = shuffled._jdf.queryExecution().executedPlan().toString()
         shuffled.collect()  # finalises this frame's own adaptive plan
         final = shuffled._jdf.queryExecution().executedPlan().toString()
-        salted = ops.lookup_join(trades, lookup, "trader_id", max_broadcast_rows=10, salt_buckets=16).agg(
+        salted = ops.lookup_join(trades, lookup, "trader_id", salt_buckets=16).agg(
             F.count(F.lit(1)), F.sum("trade_id"), F.count("trader_name")).first()
     assert tuple(got) == tuple(expected) == tuple(salted)
     assert "SortMergeJoin" in plan

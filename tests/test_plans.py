@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tradewind.plans import QUERIES
 
 STREAMING = {"windowed_trades_stream", "windowed_trades_complete", "windowed_trades_append",
              "stream_enrich_sink", "stream_enrich_batches", "stream_summary", "generated_trade_windows"}
@@ -45,7 +46,7 @@ def test_large_lookup_is_salted_shuffle_join(spark):
     lookup = views.traders(spark, SF_SMALL, keys=None)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = _plan(ops.lookup_join(trades, lookup, "trader_id", max_broadcast_rows=10, salt_buckets=4))
+        p = _plan(ops.lookup_join(trades, lookup, "trader_id", salt_buckets=4))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p and "__salt" in p and "BroadcastExchange" not in p
@@ -65,7 +66,7 @@ def test_decode_parses_once(spark):
     assert p.count("from_json") == 1 and "Generate" in p
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))
 def test_no_cartesian_or_nested_loop(spark, name):
     p = _plan(_q(spark, name))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

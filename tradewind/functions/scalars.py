@@ -106,18 +106,12 @@ def ingest_stamp() -> Column:
 
 
 def money_sum(c) -> Column:
-    """Order-independent money total: sum in DECIMAL(18,2), returned as double.
-
-    A double sum depends on the order partitions are combined in; a decimal
-    sum does not, so the result is identical on 8 or 8000 tasks. A NaN
-    amount casts to null and is not counted (decode already maps NaN to
-    null); an amount of 1e16 or more cannot be money and fails the cast
-    under ANSI mode rather than being dropped silently.
-    """
-    return F.sum(_col(c).cast("decimal(18,2)")).cast("double")
+    """Total of a money column, as a double over the raw values: no digit is
+    cut, an infinity stays one, nulls are not counted. The last bits of a
+    double sum depend on the order of addition; round for display."""
+    return F.sum(_col(c).cast("double"))
 
 
 def money_avg(c) -> Column:
-    """Mean of a money column built on ``money_sum``; null when no values."""
-    x = _col(c)
-    return money_sum(x) / F.nullif(F.count(x.cast("decimal(18,2)")), F.lit(0))
+    """Mean of the values ``money_sum`` adds; null when there are none."""
+    return F.avg(_col(c).cast("double"))

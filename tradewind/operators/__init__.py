@@ -4,5 +4,5 @@ from .enrich import enrich_transactions, with_processing_time  # noqa: F401
 from .stats import (row_count, exchange_stats, top_row, top_exchange, group_count,  # noqa: F401
                     share_of_total, tier_stats, weekday_stats, hour_stats, describe_column,
                     amount_summary, trade_summary, frequency_profile, label_rate, flag_tally)
-from .joins import lookup_join, unmatched, is_small  # noqa: F401
+from .joins import lookup_join, unmatched  # noqa: F401
 from .messages import encode_messages, encode_transactions, encode_trades, replay_cycles  # noqa: F401

@@ -84,11 +84,11 @@ def fill_nulls(df: DataFrame, value="", subset: Sequence[str] | None = None) ->
 
 
 def head(df: DataFrame, n: int | None, order_by: Sequence[str] | str) -> DataFrame:
-    """The first ``n`` rows in ``order_by`` order; ``None`` or 0 = all.
+    """The first ``n`` rows in ``order_by`` order; ``None`` or 0 =
+    all of them, unsorted.
 
     Spark plans ``orderBy + limit`` as a top-k (TakeOrderedAndProject): each
     task keeps n rows, no full sort of the input.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    ordered = df.orderBy(*keys)
-    return ordered.limit(n) if n else ordered
+    return df.orderBy(*keys).limit(n) if n else df

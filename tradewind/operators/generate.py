@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hex_id, padded_id
 from ..session import ensure_checkpoint_dir
-from .joins import is_small
+from ..sources.views import CURRENCIES, PAYMENT_FORMATS
 
 MODULUS = 2147483647          # 2^31 - 1; every product below stays under 2^63
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
@@ -26,14 +26,18 @@ TXN_TIME = "yyyy/MM/dd HH:mm"
 # Fixed value domains of the reference's generators.
 EXCHANGES = ["BINANCE", "COINBASE", "KRAKEN", "BYBIT", "OKX"]
 COINS = ["BTC", "ETH", "SOL", "XRP", "DOGE"]
-CURRENCIES = ["US Dollar", "Euro", "Yuan", "Ruble", "Yen", "UK Pound"]
-PAYMENT_FORMATS = ["Reinvestment", "Cheque", "Credit Card", "ACH", "Wire"]
 SAMPLE_START = "2026-08-01 08:00:00"
 SAMPLE_SPAN_SECONDS = 6 * 3600
 SAMPLE_NULL_AMOUNT_EVERY = 137
 SAMPLE_NULL_EXCHANGE_EVERY = 211
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows: ``take`` stops as soon
+    as one more is found."""
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+
+
 def uniform_int(ids: Column, seed: int, salt: int) -> Column:
     """A well-mixed integer in ``[0, MODULUS)`` for each id.
 

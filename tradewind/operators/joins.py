@@ -1,16 +1,17 @@
 """Lookup join and unmatched rows.
 
-Strategy, chosen per call:
-
-* the lookup is broadcast only after a bounded check proves it small
-  (``is_small``: an incremental ``take`` of at most ``max_rows + 1`` rows);
-* otherwise it is a shuffle join. A hot key (one trader with a third of all
-  trades) is handled by AQE's skew-join split, which supports the streamed
-  (left) side of left-outer and left-anti joins, or -- with
-  ``salt_buckets`` -- by salting: the big side gets a salt in
-  ``[0, salt_buckets)`` from a hash of its own columns, the lookup is
-  replicated once per salt value, and the join key becomes (key, salt).
-  Each left row still meets exactly one copy of its lookup rows, so the
+Spark picks the join from the sides' bytes: at run time AQE broadcasts a
+lookup below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles
+both sides, splitting a hot key (one trader with a third of all trades) on the
+streamed side. Nothing is counted or scanned while the plan is built. Two
+requests a caller can make:
+
+* ``broadcast=True`` for a lookup made from a driver-side list, whose size the
+  caller knows;
+* ``salt_buckets`` where the hot key exceeds what AQE splits well: the big
+  side gets a salt in ``[0, salt_buckets)`` from a hash of its own columns, the
+  lookup is replicated once per salt value, and the join key becomes (key,
+  salt). Each left row still meets exactly one copy of its lookup rows, so the
   result is unchanged.
 """
 
@@ -19,21 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
 _SALT = "__salt"
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check).
-
-    ``take`` scans partitions incrementally (one, then a growing number) and
-    stops as soon as ``max_rows + 1`` rows are found, so a large frame is
-    rejected after reading about one split; only a constant column of at
-    most ``max_rows + 1`` rows reaches the driver.
-    """
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
-
-
 def _salted(left: DataFrame, lookup: DataFrame, key: str, buckets: int):
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets))
     left_s = left.withColumn(_SALT, salt)
@@ -42,10 +31,9 @@ def _salted(left: DataFrame, lookup: DataFrame, key: str, buckets: int):
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str = "trader_id", how: str = "left",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                salt_buckets: int | None = None) -> DataFrame:
+                broadcast: bool = False, salt_buckets: int | None = None) -> DataFrame:
     """``df`` joined to ``lookup`` on ``key`` (one key column in the output)."""
-    if is_small(lookup, max_broadcast_rows):
+    if broadcast:
         return df.join(F.broadcast(lookup), on=key, how=how)
     if salt_buckets and salt_buckets > 1 and how in ("left", "left_outer", "inner", "left_anti", "left_semi"):
         left_s, lookup_s = _salted(df, lookup, key, salt_buckets)
@@ -54,13 +42,11 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str = "trader_id", how: s
 
 
 def unmatched(df: DataFrame, lookup: DataFrame, key: str = "trader_id",
-              columns: list[str] | None = None,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+              columns: list[str] | None = None, broadcast: bool = False,
               salt_buckets: int | None = None) -> DataFrame:
     """Rows of ``df`` with no lookup row for their key (a null key never
     matches). An anti join -- a matched row with a null name is not
     "unmatched" (D13)."""
     keys = lookup.select(key)
-    out = lookup_join(df, keys, key=key, how="left_anti",
-                      max_broadcast_rows=max_broadcast_rows, salt_buckets=salt_buckets)
+    out = lookup_join(df, keys, key=key, how="left_anti", broadcast=broadcast, salt_buckets=salt_buckets)
     return out.select(*columns) if columns else out

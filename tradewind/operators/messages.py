@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ingest_stamp, message_key
+from ..schemas import TRANSACTION_RAW_NAMES
 
 # JSON text of timestamps: ISO-8601 with microseconds, so an encode/decode
 # round trip keeps every digit (Spark's default writes milliseconds).
@@ -27,7 +28,7 @@ def encode_messages(df: DataFrame, key_col: str | None = None,
     it the key is null. ``stamp_col`` adds an ISO ingest stamp to the JSON.
     ``to_json`` leaves null fields out; decoding restores them as null.
     """
-    cols = [F.col(c) for c in df.columns]
+    cols = [F.col(f"`{c}`") for c in df.columns]
     if stamp_col:
         cols.append(ingest_stamp().alias(stamp_col))
     key = message_key(key_col) if key_col else F.lit(None).cast("string")
@@ -36,8 +37,11 @@ def encode_messages(df: DataFrame, key_col: str | None = None,
 
 def encode_transactions(df: DataFrame, key_col: str = "from_bank",
                         stamp_col: str = "kafka_timestamp") -> DataFrame:
-    """M1: key = sender bank as string; value = JSON of the row + ingest stamp."""
-    return encode_messages(df, key_col=key_col, stamp_col=stamp_col)
+    """M1: key = sender bank as string; value = JSON of the row + ingest stamp,
+    under the wire's names (``Timestamp``, ``From Bank``, ``Account.1``, ...)."""
+    wire = {name: raw for raw, name in TRANSACTION_RAW_NAMES.items()}
+    raw = df.toDF(*[wire.get(c, c) for c in df.columns])
+    return encode_messages(raw, key_col=f"`{wire.get(key_col, key_col)}`", stamp_col=stamp_col)
 
 
 def encode_trades(df: DataFrame) -> DataFrame:

@@ -3,8 +3,7 @@
 Every aggregate is a hash aggregate with a partial (map-side) stage, so a
 hot group -- one exchange holding a third of all trades -- is combined
 inside each task before anything is shuffled; the shuffle carries one row
-per (task, group). Money totals are summed as DECIMAL(18,2)
-(``money_sum``) so results do not depend on the order tasks finish in.
+per (task, group). Money totals are sums of raw doubles (``money_sum``).
 """
 
 from __future__ import annotations
@@ -79,12 +78,11 @@ def weekday_stats(enriched: DataFrame, day_col: str = "day_of_week",
             .orderBy(F.col(day_col).asc_nulls_first()))
 
 
-def hour_stats(enriched: DataFrame, hour_col: str = "hour_of_day", max_rows: int = 24) -> DataFrame:
-    """Per hour count, by hour (nulls first), the first ``max_rows``
-    rows -- the reference's ``show(24)``. A null hour group, if present,
-    takes the first slot."""
+def hour_stats(enriched: DataFrame, hour_col: str = "hour_of_day") -> DataFrame:
+    """Per hour count, by hour, the group of unparsable times (null)
+    first: up to 25 rows."""
     return (enriched.groupBy(hour_col).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.col(hour_col).asc_nulls_first()).limit(max_rows))
+            .orderBy(F.col(hour_col).asc_nulls_first()))
 
 
 def describe_column(df: DataFrame, column: str) -> DataFrame:
@@ -113,7 +111,7 @@ def trade_summary(trades: DataFrame, group_col: str = "exchange", amount_col: st
         F.count(F.lit(1)).alias("rows"),
         F.count_if(clean).alias("clean_rows"),
         F.count_if(amt > F.lit(above)).alias("whale_rows"),
-        F.sum(F.when(clean, amt.cast("decimal(18,2)"))).cast("double").alias("clean_volume"),
+        money_sum(F.when(clean, amt)).alias("clean_volume"),
     )
     rank = F.when(F.col("clean_rows") > 0,
                   F.struct((-F.col("clean_volume")).alias("v"), F.col(group_col).alias("k")))

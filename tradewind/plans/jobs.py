@@ -16,6 +16,8 @@ from .. import operators as ops
 from .. import streaming as st
 from ..sinks import files as sinks
 from ..sources import files as src
+from ..session import shared_dir
+from ..sinks.kafka import write_kafka
 from ..sources.kafka import read_kafka_stream
 from ..sources.lookup import trader_lookup
 
@@ -27,9 +29,15 @@ ENRICH_PARTITIONS = ("day_of_week", "amount_category")
 def trade_batch(spark: SparkSession, csv_path: str, output_path: str,
                 lookup: DataFrame | None = None) -> dict[str, DataFrame]:
     """Trade batch: read CSV -> whales -> quality -> clean -> exchange stats
-    -> lookup join / unmatched -> write stats (verified) -> summary."""
-    raw = src.read_csv(spark, csv_path, TRADE_CSV_SCHEMA)
-    lookup = lookup if lookup is not None else trader_lookup(spark)
+    -> lookup join / unmatched -> write stats (verified) -> summary.
+
+    The CSV is parsed once, into a Parquet copy under the shared folder that
+    all result frames read. ``lookup`` defaults to the five fixed traders."""
+    copy = shared_dir(spark, "trades")
+    sinks.write_parquet(src.read_csv(spark, csv_path, TRADE_CSV_SCHEMA), copy)
+    raw = src.read_parquet(spark, copy)
+    listed = lookup is None  # a driver-side list: known to be small
+    lookup = trader_lookup(spark) if listed else lookup
     clean = ops.clean_trades(raw)
     stats = ops.exchange_stats(clean)
     written, stored = sinks.write_and_verify(stats, output_path)
@@ -39,8 +47,8 @@ def trade_batch(spark: SparkSession, csv_path: str, output_path: str,
         "quality": ops.quality_report(raw),
         "clean": clean,
         "exchange_stats": stats,
-        "joined": ops.lookup_join(clean, lookup, "trader_id", "left"),
-        "unmatched": ops.unmatched(clean, lookup, "trader_id", ["trade_id", "trader_id", "amount_usd"]),
+        "joined": ops.lookup_join(clean, lookup, "trader_id", "left", broadcast=listed),
+        "unmatched": ops.unmatched(clean, lookup, "trader_id", ["trade_id", "trader_id", "amount_usd"], broadcast=listed),
         "stored_stats": stored.withColumn("written_rows", F.lit(written).cast("bigint")),
         "summary": ops.trade_summary(raw),
     }
@@ -75,22 +83,36 @@ def transaction_summary(spark: SparkSession, parquet_path: str) -> dict[str, Dat
     }
 
 
-def trade_stream(spark: SparkSession, checkpoint: str, output_path: str | None = None,
+def transaction_feed(spark: SparkSession, csv_path: str, bootstrap_servers: str | None = None,
+                     topic: str = "transactions", limit: int | None = None, **producer_options) -> DataFrame:
+    """Feed: raw CSV -> null strings to '' -> keyed JSON messages -> Kafka.
+    ``limit`` sends the first rows by time only (the feeder's option). Without
+    ``bootstrap_servers`` nothing is sent; the messages are returned either
+    way."""
+    rows = ops.head(src.read_raw_transactions_csv(spark, csv_path), limit, "ts")
+    messages = ops.encode_transactions(ops.fill_nulls(rows, ""))
+    if bootstrap_servers:
+        write_kafka(messages, bootstrap_servers, topic, **producer_options)
+    return messages
+
+
+def trade_stream(spark: SparkSession, checkpoint: str | None, output_path: str | None = None,
                  bootstrap_servers: str = "localhost:9092", topic: str = "trades",
                  messages: DataFrame | None = None, output_mode: str = "update",
                  processing_time: str | None = "10 seconds", available_now: bool = False,
                  watermark: str = st.TRADE_WATERMARK, window: str = st.TRADE_WINDOW,
-                 state_partitions: int | None = None):
+                 state_partitions: int | None = None, max_offsets_per_trigger: int | None = None):
     """Trade stream: messages -> decode -> watermark -> windowed counts and
     volume. ``output_path`` None prints to the console (update mode);
     otherwise a replay-safe batch sink (update/complete; read update output
-    with ``last_wins``)."""
-    source = messages if messages is not None else read_kafka_stream(spark, bootstrap_servers, topic)
+    with ``last_wins``). ``max_offsets_per_trigger`` bounds a micro-batch, so a
+    backlog is read in steps; Kafka hands it out in offset order."""
+    source = messages if messages is not None else read_kafka_stream(spark, bootstrap_servers, topic, max_offsets_per_trigger)
     agg = st.trade_windows(source, window=window, watermark=watermark,
                            sort=(output_mode == "complete"))
     trigger = st.trigger_options(processing_time, available_now)
     if output_path is None:
-        return st.start_console_sink(agg, output_mode, trigger=trigger)
+        return st.start_console_sink(agg, output_mode, trigger=trigger, checkpoint=checkpoint)
     return st.start_batch_sink(agg, output_path, checkpoint, output_mode, trigger=trigger,
                                state_partitions=state_partitions)
 
@@ -99,11 +121,11 @@ def transaction_stream(spark: SparkSession, output_dir: str, checkpoint: str,
                        bootstrap_servers: str = "localhost:9092", topic: str = "transactions",
                        messages: DataFrame | None = None, batch_duration: int = 30,
                        available_now: bool = False, exactly_once_file_sink: bool = False,
-                       on_batch=None):
+                       on_batch=None, max_offsets_per_trigger: int | None = None):
     """Transaction stream: messages -> decode -> processing time -> enrich ->
     Parquet partitioned by weekday and tier, replay-safe. The checkpoint is
     a separate folder, never inside the data directory."""
-    source = messages if messages is not None else read_kafka_stream(spark, bootstrap_servers, topic)
+    source = messages if messages is not None else read_kafka_stream(spark, bootstrap_servers, topic, max_offsets_per_trigger)
     enriched = st.enriched_transaction_stream(source)
     trigger = st.trigger_options(f"{batch_duration} seconds", available_now)
     if exactly_once_file_sink:

@@ -2,12 +2,15 @@
 
 Each string runs on DuckDB with the driver's tables registered as views.
 The fixture views are spelled out as CTEs in DuckDB's dialect. Money sums
-go through DECIMAL(18,2) and back to DOUBLE, exactly as ``money_sum`` does
-in Spark, so totals are bit-identical across engines.
+and means are taken over the raw doubles and rounded to 2 places, as the
+registered queries round theirs.
 """
 
 from __future__ import annotations
 
+from ..operators.generate import COINS, EXCHANGES
+from ..sources.views import CURRENCIES, PAYMENT_FORMATS
+
 TRADES = """trades AS (
   SELECT event_id AS trade_id,
          CASE WHEN event_id % 211 = 0 THEN NULL ELSE event_type END AS exchange,
@@ -58,11 +61,11 @@ ENRICHED = """enriched AS (
 
 
 def money_sum(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"ROUND(SUM({c}), 2)"
 
 
 def money_avg(c: str) -> str:
-    return f"{money_sum(c)} / NULLIF(COUNT({c}), 0)"
+    return f"ROUND(AVG({c}), 2)"
 
 
 def with_(*ctes: str) -> str:
@@ -108,10 +111,7 @@ def _choose(i, seed, salt, values):
     return f"({lst})[{_u(i, seed, salt)} % {len(values)} + 1]"
 
 
-EXCH = ["BINANCE", "COINBASE", "KRAKEN", "BYBIT", "OKX"]
-COINS = ["BTC", "ETH", "SOL", "XRP", "DOGE"]
-CURR = ["US Dollar", "Euro", "Yuan", "Ruble", "Yen", "UK Pound"]
-FMTS = ["Reinvestment", "Cheque", "Credit Card", "ACH", "Wire"]
+EXCH, COINS, CURR, FMTS = EXCHANGES, COINS, CURRENCIES, PAYMENT_FORMATS
 
 GEN_TRADES = f"""SELECT printf('TRD%06d', id) AS trade_id,
   CASE WHEN id % 211 = 0 THEN NULL ELSE {_choose('id', 42, 1, EXCH)} END AS exchange,
@@ -179,6 +179,16 @@ LEFT JOIN cur rc ON rc.idx = {_u('id', 13, 6)} % p.nc
 LEFT JOIN cur pc ON pc.idx = {_u('id', 13, 7)} % p.nc
 LEFT JOIN fmt pf ON pf.idx = {_u('id', 13, 8)} % p.nf"""
 
+# Names and types of the enriched transactions, in order.
+ENRICHED_TYPES = [
+    ("ts", "string"), ("from_bank", "int"), ("from_account", "string"), ("to_bank", "int"), ("to_account", "string"),
+    ("amount_received", "double"), ("receiving_currency", "string"), ("amount_paid", "double"), ("payment_currency", "string"),
+    ("payment_format", "string"), ("is_laundering_flag", "int"), ("amount_category", "string"), ("event_timestamp", "timestamp"),
+    ("hour_of_day", "int"), ("day_of_week", "int"), ("is_laundering", "string")]
+
+SCHEMA_LISTING = " UNION ALL ".join(
+    f"SELECT '{n}' AS name, '{k}' AS type, COUNT({n}) AS filled FROM enriched" for n, k in ENRICHED_TYPES)
+
 ORACLE_SQL: dict[str, str] = {
     "parquet_scan": with_(TRADES) + "SELECT * FROM trades",
     "csv_scan": with_(TRADES) + """SELECT CAST(trade_id AS VARCHAR) AS trade_id, exchange,
@@ -226,7 +236,7 @@ FROM enriched GROUP BY amount_category""",
        {money_sum('amount_received')} AS total_amount
 FROM enriched GROUP BY day_of_week ORDER BY day_of_week NULLS FIRST""",
     "hour_stats": with_(TRANSACTIONS, ENRICHED) + """SELECT hour_of_day, COUNT(*) AS count
-FROM enriched GROUP BY hour_of_day ORDER BY hour_of_day NULLS FIRST LIMIT 24""",
+FROM enriched GROUP BY hour_of_day ORDER BY hour_of_day NULLS FIRST""",
     "amount_describe": with_(TRANSACTIONS, ENRICHED) + """SELECT COUNT(amount_received) AS count,
        ROUND(AVG(amount_received), 4) AS mean, ROUND(STDDEV_SAMP(amount_received), 4) AS stddev,
        MIN(amount_received) AS min, MAX(amount_received) AS max FROM enriched""",
@@ -244,7 +254,20 @@ WHERE payment_format IS NOT NULL GROUP BY payment_format ORDER BY count DESC, pa
        CAST(COUNT(*) FILTER (WHERE is_laundering_flag = 1) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0) AS flagged_pct
 FROM transactions""",
     "decoded_messages": with_(TRANSACTIONS)
-    + "SELECT COALESCE(CAST(from_bank AS VARCHAR), 'unknown') AS key, * FROM transactions",
+    + "SELECT COALESCE(CAST(from_bank AS VARCHAR), 'unknown') AS key, *, TRUE AS stamped FROM transactions",
+    "decode_losses": with_(TRANSACTIONS)
+    + "SELECT COUNT(*) AS messages, COUNT(*) FILTER (WHERE from_bank % 5 = 0) AS undecoded FROM transactions",
+    "formatted_transactions": with_(TRANSACTIONS, ENRICHED) + """SELECT ts, strftime(event_timestamp, '%Y/%m/%d %H:%M') AS formatted,
+       printf('%07X', from_bank) AS bank_hex, printf('BANK%04d', to_bank) AS bank_padded,
+       ROUND(amount_received, 0) AS amount_rounded, TRUE AS processed FROM enriched""",
+    "schema_listing": with_(TRANSACTIONS, ENRICHED) + SCHEMA_LISTING,
+    "large_lines": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_extendedprice > 50000",
+    "top_banks": with_(TRANSACTIONS) + """SELECT from_bank, COUNT(*) AS count FROM transactions
+WHERE from_bank IS NOT NULL GROUP BY from_bank ORDER BY count DESC, from_bank LIMIT 5""",
+    "inline_lookup_join": with_(TRADES, CLEAN) + """SELECT c.*, CASE WHEN c.trader_id IN (1, 5, 10, 20, 50)
+       THEN 'trader ' || c.trader_id END AS trader_name FROM clean c""",
+    "unmatched_trades_full": with_(TRADES, CLEAN, ALL_TRADERS) + """SELECT trade_id, trader_id, amount_usd FROM clean c
+WHERE NOT EXISTS (SELECT 1 FROM all_traders l WHERE l.trader_id % 3 <> 0 AND l.trader_id = c.trader_id)""",
     "trade_messages": with_(TRADES) + "SELECT CAST(NULL AS VARCHAR) AS key, * FROM trades",
     "replay_cycles": with_(TRADES)
     + "SELECT CAST(r.range AS INTEGER) AS cycle, t.* FROM range(1, 4) r CROSS JOIN trades t",
@@ -267,10 +290,8 @@ WHERE window_end <= (SELECT MAX(event_time) FROM trades) - INTERVAL '2 minutes'"
 FROM synthetic""",
     "profiled_transactions": with_(TRANSACTIONS, PROFILED),
     "transactions_csv_scan": with_(TRANSACTIONS, ENRICHED) + "SELECT * FROM enriched",
-    "stream_summary": with_(TRANSACTIONS, ENRICHED) + f"""SELECT day_of_week, COUNT(*) AS count,
-       {money_sum('amount_received')} AS total_amount FROM enriched
-WHERE day_of_week IN (1, 7) AND amount_category = 'HIGH'
-GROUP BY day_of_week ORDER BY day_of_week NULLS FIRST""",
+    "stream_summary": with_(TRANSACTIONS, ENRICHED) + f"""SELECT day_of_week, amount_category, COUNT(*) AS count,
+       {money_sum('amount_received')} AS total_amount FROM enriched GROUP BY day_of_week, amount_category""",
     "generated_trade_windows": f"""WITH g AS ({GEN_STREAM_TRADES}),
 t AS (SELECT CAST(event_time AS TIMESTAMP) AS ts, exchange, amount_usd FROM g)
 SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,

@@ -15,15 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..session import default_parallelism, shared_dir
+from ..functions.scalars import (format_transaction_time, hex_id, money_sum, padded_id, parse_iso_time,
+                                 round_money)
+from ..session import default_parallelism, remove_path, shared_dir
 from ..sinks import files as sinks
 from ..sources import files as src
+from ..sources import lookup as src_lookup
 from ..sources import views
-from ..sources.decode import decode_messages
-from ..schemas import TRANSACTION_MESSAGE_SCHEMA, TRANSACTION_RAW_NAMES as RAW_NAMES
+from ..sources.decode import decode_messages, decode_report, decode_transactions
+from ..schemas import TRANSACTION_RAW_NAMES as RAW_NAMES, TRANSACTION_WIRE_SCHEMA
 from .. import streaming as st
 from ..operators import generate as gen
 
+def rounded(df: DataFrame, *money: str) -> DataFrame:
+    """Money to 2 places (X16), where two engines' double sums agree."""
+    return df.withColumns({c: round_money(c) for c in money})
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -92,7 +100,7 @@ def head_n(spark, sf_dir):
 
 def exchange_stats(spark, sf_dir):
     """A2 + O1 (flagship): per-exchange count, total, mean, max; largest total first."""
-    return ops.exchange_stats(ops.clean_trades(views.trades(spark, sf_dir)))
+    return rounded(ops.exchange_stats(ops.clean_trades(views.trades(spark, sf_dir))), "total_volume", "avg_trade_size")
 
 
 def top_exchange(spark, sf_dir):
@@ -118,6 +126,12 @@ def trader_join(spark, sf_dir):
                            views.traders(spark, sf_dir), "trader_id", "left")
 
 
+def inline_lookup_join(spark, sf_dir):
+    """S3 + J1: the lookup is a driver-side list, so it is broadcast."""
+    listed = src_lookup.inline_lookup(spark, [(k, f"trader {k}") for k in views.LOOKUP_TRADER_KEYS], "trader_id long, trader_name string")
+    return ops.lookup_join(ops.clean_trades(views.trades(spark, sf_dir)), listed, "trader_id", "left", broadcast=True)
+
+
 def unmatched_trades(spark, sf_dir):
     """Cleaned trades whose trader is not in the lookup (anti join)."""
     return ops.unmatched(ops.clean_trades(views.trades(spark, sf_dir)),
@@ -125,12 +139,19 @@ def unmatched_trades(spark, sf_dir):
                          ["trade_id", "trader_id", "amount_usd"])
 
 
+def unmatched_trades_full(spark, sf_dir):
+    """J2 against a lookup that grows with the data: every customer but each
+    third one."""
+    lookup = views.traders(spark, sf_dir, keys=None).where("trader_id % 3 <> 0")
+    return ops.unmatched(ops.clean_trades(views.trades(spark, sf_dir)), lookup, "trader_id",
+                         ["trade_id", "trader_id", "amount_usd"])
+
+
 def trader_join_full(spark, sf_dir):
-    """J1 against every customer: a lookup that grows with the data, so the
-    size check sends it down the shuffle-join path at scale."""
+    """J1 against every customer, a lookup that grows with the data. The merge
+    hint keeps it on the shuffle path at any size, salted as for a hot key."""
     return ops.lookup_join(ops.clean_trades(views.trades(spark, sf_dir)),
-                           views.traders(spark, sf_dir, keys=None), "trader_id", "left",
-                           max_broadcast_rows=1000, salt_buckets=8)
+                           views.traders(spark, sf_dir, keys=None).hint("merge"), "trader_id", "left", salt_buckets=8)
 
 
 # -- transactions ------------------------------------------------------------
@@ -157,16 +178,16 @@ def laundering_share(spark, sf_dir):
 
 def tier_stats(spark, sf_dir):
     """A5: count, mean and total amount per tier."""
-    return ops.tier_stats(enriched(spark, sf_dir))
+    return rounded(ops.tier_stats(enriched(spark, sf_dir)), "avg_amount", "total_amount")
 
 
 def weekday_stats(spark, sf_dir):
     """A6 + O2: count and total amount per weekday, by weekday."""
-    return ops.weekday_stats(enriched(spark, sf_dir))
+    return rounded(ops.weekday_stats(enriched(spark, sf_dir)), "total_amount")
 
 
 def hour_stats(spark, sf_dir):
-    """A7 + O2: count per hour, by hour, at most 24 rows."""
+    """A7 + O2: count per hour, by hour; unparsable times are a group."""
     return ops.hour_stats(enriched(spark, sf_dir))
 
 
@@ -208,30 +229,65 @@ def laundering_tally(spark, sf_dir):
 
 
 # -- messages ----------------------------------------------------------------
-# JSON encode/decode is the CPU-heavy step; ``spread`` makes sure a scan
-# with fewer splits than cores (one big row group) still uses every core,
-# and is a no-op on large inputs.
 
-def _spread_trades(spark, sf_dir):
-    return views.trades_from_events(src.spread(src.read_table(spark, sf_dir, "events")))
+def _binary(messages):
+    """Values as Kafka hands them over."""
+    return messages.withColumn("value", F.col("value").cast("binary"))
 
 
-def _spread_transactions(spark, sf_dir):
-    return views.transactions_from_lineitem(src.spread(src.read_table(spark, sf_dir, "lineitem")))
+def decoded_messages(spark, sf_dir):
+    """M1 then S6: every transaction encoded under the wire's names, decoded
+    from binary again; only the presence of the ingest stamp (X17) is kept."""
+    msgs = _binary(ops.encode_transactions(views.transactions(spark, sf_dir)))
+    decoded = decode_transactions(msgs, keep_columns=["key"])
+    stamped = parse_iso_time("kafka_timestamp").isNotNull()
+    return decoded.withColumn("stamped", stamped).drop("kafka_timestamp")
 
 
-def decoded_messages(spark, sf_dir):
-    """M1 then S6: encode every transaction, decode it again."""
-    msgs = ops.encode_transactions(_spread_transactions(spark, sf_dir))
-    decoded = decode_messages(msgs, TRANSACTION_MESSAGE_SCHEMA, required="ts", keep_columns=["key"])
-    return decoded.drop("kafka_timestamp")
+def decode_losses(spark, sf_dir):
+    """S6 + F3: messages, and those that decode to nothing (here: every
+    transaction of a bank divisible by 5 is cut short on the wire)."""
+    msgs = ops.encode_transactions(views.transactions(spark, sf_dir))
+    broken = F.when(F.col("key").cast("int") % 5 == 0, F.substring("value", 1, 7)).otherwise(F.col("value"))
+    return decode_report(msgs.withColumn("value", broken), TRANSACTION_WIRE_SCHEMA, "Timestamp")
 
 
 def trade_messages(spark, sf_dir):
     """M2 then S6: unkeyed trade messages decoded back to rows."""
-    t = _spread_trades(spark, sf_dir)
-    msgs = ops.encode_trades(t)
-    return decode_messages(msgs, t.schema, required="trade_id", keep_columns=["key"])
+    t = views.trades(spark, sf_dir)
+    return decode_messages(_binary(ops.encode_trades(t)), t.schema, required="trade_id", keep_columns=["key"])
+
+
+def formatted_transactions(spark, sf_dir):
+    """Time, hex and padded ids and rounded amounts of every
+    transaction, and whether a processing time is there."""
+    t = ops.enrich_transactions(views.transactions(spark, sf_dir))
+    t = ops.with_processing_time(t)
+    return t.select(
+        "ts", format_transaction_time("event_timestamp").alias("formatted"), hex_id("from_bank").alias("bank_hex"),
+        padded_id("BANK", "to_bank", 4).alias("bank_padded"), round_money("amount_received", 0).alias("amount_rounded"),
+        F.col("processing_time").isNotNull().alias("processed"))
+
+
+def schema_listing(spark, sf_dir):
+    """Names and types of the enriched transactions, with the number of
+    rows that have each."""
+    e = enriched(spark, sf_dir)
+    kinds = src.schema_report(e)
+    counts = e.agg(*[F.count(F.col(n)).alias(n) for n, _ in kinds])
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("type"), F.col(n).alias("filled")) for n, k in kinds])
+    return counts.select(F.inline(pairs))
+
+
+def large_lines(spark, sf_dir):
+    """F1 on a stored column: the comparison reaches the Parquet reader."""
+    lines = src.read_table(spark, sf_dir, "lineitem")
+    return ops.whale_trades(lines, "l_extendedprice", 50000, ["l_orderkey", "l_linenumber", "l_extendedprice"])
+
+
+def top_banks(spark, sf_dir):
+    """A10 with a limit that cuts: the 5 most frequent sending banks."""
+    return ops.frequency_profile(views.transactions(spark, sf_dir), "from_bank", 5)
 
 
 def replay_cycles(spark, sf_dir):
@@ -243,10 +299,11 @@ def replay_cycles(spark, sf_dir):
 
 def transactions_csv_scan(spark, sf_dir):
     """S1 + K6 for the raw feed: transactions written as CSV under the feed's
-    own headers, read back positionally with the declared schema, enriched."""
+    own headers in another order, read back by header name, enriched."""
     raw_names = [k for k, v in RAW_NAMES.items() if v != "kafka_timestamp"]
     path = shared_dir(spark, "transactions_csv")
-    sinks.write_csv(views.transactions(spark, sf_dir).toDF(*raw_names), path)
+    t = views.transactions(spark, sf_dir).toDF(*raw_names)
+    sinks.write_csv(t.select(*[f"`{c}`" for c in reversed(raw_names)]), path)
     return ops.enrich_transactions(src.read_raw_transactions_csv(spark, path))
 
 
@@ -273,100 +330,95 @@ AVAILABLE_NOW = st.trigger_options(available_now=True)
 def windowed_trades_batch(spark, sf_dir):
     """T2 + T3 on the batch frame."""
     t = st.with_event_time(views.trades(spark, sf_dir), "event_time")
-    return st.flatten_window(st.windowed_trade_stats(t, watermark=None))
+    return rounded(st.flatten_window(st.windowed_trade_stats(t, watermark=None)), "total_volume")
+
+
+def _trade_stream(spark, sf_dir):
+    """The events table streamed in place, as trade messages (M2). One batch:
+    the table's files are not in event-time order."""
+    return _binary(ops.encode_trades(views.trades_from_events(st.read_table_stream(spark, sf_dir, "events"))))
 
 
-def _trade_log(spark, sf_dir) -> str:
-    """Trades encoded as messages (M2) into a message log -- the topic."""
-    path = shared_dir(spark, "trade_log")
-    st.write_message_log(ops.encode_trades(_spread_trades(spark, sf_dir)), path)
-    return path
+def _transaction_stream(spark, sf_dir, max_files_per_trigger: int = 64):
+    """The lineitem table streamed in place, as transaction messages (M1)."""
+    lines = st.read_table_stream(spark, sf_dir, "lineitem", max_files_per_trigger=max_files_per_trigger)
+    return _binary(ops.encode_transactions(views.transactions_from_lineitem(lines)))
 
 
-def _transaction_log(spark, sf_dir) -> str:
-    path = shared_dir(spark, "transaction_log")
-    st.write_message_log(ops.encode_transactions(_spread_transactions(spark, sf_dir)), path)
-    return path
+def _run(spark, start) -> str:
+    """Run a stream to its end; its checkpoint goes, its output folder stays."""
+    out, ckpt = shared_dir(spark, "stream"), shared_dir(spark, "ckpt")
+    st.run_until_done(start(out, ckpt))
+    remove_path(spark, ckpt)
+    return out
 
 
 def windowed_trades_stream(spark, sf_dir):
     """Decode -> watermark -> windows, update mode into a
     foreachBatch changelog, read back last-wins per (window, exchange)."""
-    agg = st.trade_windows(st.read_message_stream(spark, _trade_log(spark, sf_dir)))
-    out, ckpt = shared_dir(spark, "trade_windows_update"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW,
-                                         state_partitions=default_parallelism(spark)))
-    return st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"]))
+    agg = st.trade_windows(_trade_stream(spark, sf_dir))
+    out = _run(spark, lambda o, c: st.start_batch_sink(agg, o, c, "update", trigger=AVAILABLE_NOW,
+                                                       state_partitions=default_parallelism(spark)))
+    return rounded(st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"])), "total_volume")
 
 
 def windowed_trades_complete(spark, sf_dir):
-    """T5 (b): complete mode with the reference's sort by window; the last
-    batch holds the whole result."""
-    agg = st.trade_windows(st.read_message_stream(spark, _trade_log(spark, sf_dir)), sort=True)
-    out, ckpt = shared_dir(spark, "trade_windows_complete"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "complete", trigger=AVAILABLE_NOW,
-                                         state_partitions=default_parallelism(spark)))
-    return st.flatten_window(st.latest_batch(spark.read.parquet(out)))
+    """T5 (b): complete mode; the last batch holds the whole result, sorted by
+    window when it is read (files keep no order). For bounded input: complete
+    mode holds every window."""
+    agg = st.trade_windows(_trade_stream(spark, sf_dir))
+    out = _run(spark, lambda o, c: st.start_batch_sink(agg, o, c, "complete", trigger=AVAILABLE_NOW,
+                                                       state_partitions=default_parallelism(spark)))
+    latest = st.flatten_window(st.latest_batch(spark.read.parquet(out)))
+    return rounded(latest, "total_volume").orderBy("window_start", "exchange")
 
 
 def windowed_trades_append(spark, sf_dir):
     """Append mode into the exactly-once file sink -- only windows the
-    watermark has closed (end <= max event time - 2 minutes) are emitted."""
-    agg = st.trade_windows(st.read_message_stream(spark, _trade_log(spark, sf_dir)))
-    out, ckpt = shared_dir(spark, "trade_windows_append"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_file_sink(agg, out, ckpt, trigger=AVAILABLE_NOW,
-                                         state_partitions=default_parallelism(spark)))
-    return st.flatten_window(spark.read.parquet(out))
+    watermark has closed (end <= max event time - 2 minutes) are emitted; those
+    still open at the end are left out, as append mode does."""
+    agg = st.trade_windows(_trade_stream(spark, sf_dir))
+    out = _run(spark, lambda o, c: st.start_file_sink(agg, o, c, trigger=AVAILABLE_NOW,
+                                                      state_partitions=default_parallelism(spark)))
+    return rounded(st.flatten_window(spark.read.parquet(out)), "total_volume")
+
+
+def _enriched_sink(spark, sf_dir) -> str:
+    stream = st.enriched_transaction_stream(_transaction_stream(spark, sf_dir))
+    return _run(spark, lambda o, c: st.start_file_sink(stream, o, c, ENRICH_PARTITIONS, trigger=AVAILABLE_NOW))
 
 
 def stream_enrich_sink(spark, sf_dir):
     """T10 + K3: transaction messages -> decode -> enrich -> Parquet
     partitioned by weekday and tier through the exactly-once file sink."""
-    enriched_stream = st.enriched_transaction_stream(
-        st.read_message_stream(spark, _transaction_log(spark, sf_dir)))
-    out, ckpt = shared_dir(spark, "enriched_stream"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_file_sink(enriched_stream, out, ckpt, ENRICH_PARTITIONS,
-                                         trigger=AVAILABLE_NOW))
-    return spark.read.parquet(out).drop("processing_time", "kafka_timestamp")
+    return spark.read.parquet(_enriched_sink(spark, sf_dir)).drop("processing_time", "kafka_timestamp")
 
 
 def stream_summary(spark, sf_dir):
-    """The summary job over the stream sink's partitioned output: tier
-    statistics of the weekend HIGH tier, read with partition pruning
-    (day_of_week in (1, 7), amount_category = 'HIGH' never open other
-    directories)."""
-    enriched_stream = st.enriched_transaction_stream(
-        st.read_message_stream(spark, _transaction_log(spark, sf_dir)))
-    out, ckpt = shared_dir(spark, "enriched_stream"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_file_sink(enriched_stream, out, ckpt, ENRICH_PARTITIONS,
-                                         trigger=AVAILABLE_NOW))
-    stored = spark.read.parquet(out).filter(
-        F.col("day_of_week").isin(1, 7) & (F.col("amount_category") == "HIGH"))
-    return ops.weekday_stats(stored)
+    """The summary job over the stream sink's partitioned output, all of it:
+    rows and total amount by weekday and tier."""
+    stored = spark.read.parquet(_enriched_sink(spark, sf_dir))
+    return (stored.groupBy("day_of_week", "amount_category")
+            .agg(F.count(F.lit(1)).alias("count"), round_money(money_sum("amount_received")).alias("total_amount")))
 
 
-def generated_trade_windows(spark, sf_dir):
-    """G2 -> M2 -> message log -> trade stream (update mode, several
-    micro-batches in event-time order) -> last-wins windows."""
-    log = shared_dir(spark, "generated_trade_log")
-    ids = _event_ids(spark, sf_dir)
-    st.write_message_log(ops.encode_trades(gen.stream_trades(src.spread(ids))), log)
-    agg = st.trade_windows(st.read_message_stream(spark, log))
-    out, ckpt = shared_dir(spark, "generated_windows"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(agg, out, ckpt, "update", trigger=AVAILABLE_NOW,
-                                         state_partitions=default_parallelism(spark)))
-    return st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"]))
+def stream_enrich_batches(spark, sf_dir):
+    """T9 + K3: the same stream through foreachBatch, each micro-batch in its
+    own replay-safe batch_id folder, then folded into one table."""
+    stream = st.enriched_transaction_stream(_transaction_stream(spark, sf_dir, max_files_per_trigger=2))
+    out = _run(spark, lambda o, c: st.start_batch_sink(stream, o, c, "append", ENRICH_PARTITIONS, trigger=AVAILABLE_NOW))
+    table = st.compact_batches(spark, out, shared_dir(spark, "enriched"), ENRICH_PARTITIONS)
+    remove_path(spark, out)
+    return table.drop("processing_time", "kafka_timestamp")
 
 
-def stream_enrich_batches(spark, sf_dir):
-    """T9 + K3: the same stream through foreachBatch, several micro-batches,
-    each in its own replay-safe batch_id partition."""
-    enriched_stream = st.enriched_transaction_stream(
-        st.read_message_stream(spark, _transaction_log(spark, sf_dir), max_files_per_trigger=2))
-    out, ckpt = shared_dir(spark, "enriched_batches"), shared_dir(spark, "ckpt")
-    st.run_until_done(st.start_batch_sink(enriched_stream, out, ckpt, "append", ENRICH_PARTITIONS,
-                                          trigger=AVAILABLE_NOW))
-    return spark.read.parquet(out).drop("processing_time", "kafka_timestamp", st.BATCH_COL)
+def generated_trade_windows(spark, sf_dir):
+    """G2 -> M2 -> trade stream (update mode) -> last-wins windows."""
+    ids = st.read_table_stream(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    agg = st.trade_windows(_binary(ops.encode_trades(gen.stream_trades(ids))))
+    out = _run(spark, lambda o, c: st.start_batch_sink(agg, o, c, "update", trigger=AVAILABLE_NOW,
+                                                       state_partitions=default_parallelism(spark)))
+    return rounded(st.flatten_window(st.last_wins(spark.read.parquet(out), ["window", "exchange"])), "total_volume")
 
 
 # -- generators ---------------------------------------------------------------
@@ -420,6 +472,13 @@ QUERIES: dict[str, Query] = {
     "trade_summary": trade_summary,
     "trade_count": trade_count,
     "trader_join": trader_join,
+    "inline_lookup_join": inline_lookup_join,
+    "unmatched_trades_full": unmatched_trades_full,
+    "decode_losses": decode_losses,
+    "formatted_transactions": formatted_transactions,
+    "schema_listing": schema_listing,
+    "large_lines": large_lines,
+    "top_banks": top_banks,
     "unmatched_trades": unmatched_trades,
     "trader_join_full": trader_join_full,
     "enriched_transactions": enriched_transactions,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Trade message / CSV row. ``event_time`` stays a string in messages
+# The names of a trade message / CSV row. ``event_time`` stays a string in messages
 # (ISO-8601) and is parsed by ``functions.parse_iso_time``.
 TRADE_SCHEMA = T.StructType([
     T.StructField("trade_id", T.StringType(), True),
@@ -57,6 +57,11 @@ TRANSACTION_RAW_NAMES = {
     "kafka_timestamp": "kafka_timestamp",
 }
 
+# A transaction message on the wire: the feed's own names, in order.
+TRANSACTION_WIRE_SCHEMA = T.StructType([
+    T.StructField(raw, TRANSACTION_MESSAGE_SCHEMA[name].dataType, True)
+    for raw, name in TRANSACTION_RAW_NAMES.items()])
+
 TRADER_SCHEMA = T.StructType([
     T.StructField("trader_id", T.StringType(), True),
     T.StructField("trader_name", T.StringType(), True),

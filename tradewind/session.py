@@ -8,6 +8,7 @@ their intermediate tables and stream checkpoints.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -163,7 +164,29 @@ class persisted:
         return False
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
+    """A fresh, unique folder under the shared checkpoint folder, removed when
+    the driver's Python ends (results may be read from it until then)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark knows; a missing one is fine."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _remove_scratch() -> None:
+    for spark, path in _scratch:
+        # A stopped session leaves its folders to the deployer's own expiry.
+        if getattr(spark.sparkContext, "_jsc", None) is not None:
+            remove_path(spark, path)
+    _scratch.clear()

@@ -25,12 +25,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_and_verify(df: DataFrame, path: str, mode: str = "overwrite") -> tuple[int, DataFrame]:
     """K2: write, count the written rows in the same job (an ``Observation``,
-    not a second job over the input), read back, and return
-    (rows written, read-back frame)."""
+    not a second job over the input), read back, count what is read (from the
+    file footers), and return (rows written, read-back frame). Raises if the
+    counts differ. ``append`` counts what was there before the write too, so
+    only the other modes are compared."""
     obs = Observation("written")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
     written = obs.get["rows"]
     back = df.sparkSession.read.parquet(path)
+    if mode != "append" and (stored := back.count()) != written:
+        raise RuntimeError(f"{path}: {written} rows were written, {stored} are read back")
     return written, back
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import nan_to_null
+from ..schemas import TRANSACTION_RAW_NAMES, TRANSACTION_WIRE_SCHEMA
 
 
 def decode_messages(messages: DataFrame, schema: T.StructType, required: str,
@@ -37,3 +38,18 @@ def decode_messages(messages: DataFrame, schema: T.StructType, required: str,
         if doubles:
             flat = flat.withColumns({c: nan_to_null(c) for c in doubles})
     return flat.filter(F.col(required).isNotNull())
+
+
+def decode_transactions(messages: DataFrame, keep_columns: list[str] | None = None) -> DataFrame:
+    """S6 for transaction messages: parsed under the wire's names
+    (``Timestamp``, ``From Bank``, ``Account.1``, ...), then renamed to ours."""
+    flat = decode_messages(messages, TRANSACTION_WIRE_SCHEMA, "Timestamp", keep_columns)
+    return flat.toDF(*[TRANSACTION_RAW_NAMES.get(c, c) for c in flat.columns])
+
+
+def decode_report(messages: DataFrame, schema: T.StructType, required: str) -> DataFrame:
+    """One row: messages, and how many of them decode to nothing (malformed,
+    or without the required field) and so vanish from the decoded rows."""
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    lost = F.coalesce(parsed[required].isNull(), F.lit(True))
+    return messages.agg(F.count(F.lit(1)).alias("messages"), F.count_if(lost).alias("undecoded"))

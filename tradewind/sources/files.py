@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,13 +22,38 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     return reader.csv(path)
 
 
+def raw_columns(header: list[str]) -> dict[str, str]:
+    """Canonical name -> column of a raw transaction header, by name. The
+    second ``Account`` may be called ``Account.1`` or, where a header repeats
+    ``Account`` and Spark numbers the repeats, is the later one. Raises on a
+    missing name."""
+    from ..schemas import TRANSACTION_RAW_NAMES, TRANSACTION_SCHEMA
+    repeats = [c for c in header if re.fullmatch(r"Account\d+", c)]
+    found = {}
+    for raw, name in TRANSACTION_RAW_NAMES.items():
+        if name not in TRANSACTION_SCHEMA.fieldNames():
+            continue
+        if raw in header:
+            found[name] = raw
+        elif raw.startswith("Account") and len(repeats) == 2:
+            found[name] = repeats[raw == "Account.1"]
+        else:
+            raise ValueError(f"the transaction file has no column {raw!r}; its header is {header}")
+    return found
+
+
 def read_raw_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """S1 for the raw transaction feed (headers ``Timestamp``, ``From Bank``,
-    ``Account``, ``Account.1``, ...): read positionally with the declared
-    canonical schema, so ids never turn numeric and names are snake_case.
-    The header line must list the feed's columns in the feed's order."""
-    from ..schemas import TRANSACTION_SCHEMA
-    return read_csv(spark, path, TRANSACTION_SCHEMA, enforceSchema=True)
+    ``Account``, ``Account.1``, ...): columns are found by header name, in
+    whatever order the file has them, and take the declared types (text that
+    does not parse gives null). All files of a folder share one header."""
+    from ..schemas import TRANSACTION_RAW_NAMES, TRANSACTION_SCHEMA
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    raw = reader.csv(path)
+    column = raw_columns(raw.columns)
+    if set(column.values()) <= set(TRANSACTION_RAW_NAMES):  # no numbered repeats: each file's header can be checked
+        raw = reader.option("enforceSchema", False).csv(path)
+    return raw.select(*[F.col(f"`{column[f.name]}`").try_cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA.fields])
 
 
 def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
@@ -52,17 +80,3 @@ def id_range(spark: SparkSession, n: int, start: int = 0, num_partitions: int |
 def schema_report(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and SQL type names (the data in ``printSchema``)."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than that (e.g. one large Parquet row group); otherwise
-    leave it alone. At scale the scan already has thousands of splits and no
-    shuffle is added."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view (e.g. Spark Connect): keep the scan as is
-        return df
-    return df.repartition(target)

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..operators.enrich import enrich_transactions, with_processing_time
-from ..schemas import TRADE_SCHEMA, TRANSACTION_MESSAGE_SCHEMA
-from ..sources.decode import decode_messages
+from ..schemas import TRADE_SCHEMA
+from ..sources.decode import decode_messages, decode_transactions
 from .windows import TRADE_WATERMARK, TRADE_WINDOW, windowed_trade_stats, with_event_time
 
 
@@ -33,8 +33,6 @@ def trade_windows(messages: DataFrame, schema: T.StructType = TRADE_SCHEMA,
                                 watermark=watermark, sort=sort)
 
 
-def enriched_transaction_stream(messages: DataFrame,
-                                schema: T.StructType = TRANSACTION_MESSAGE_SCHEMA) -> DataFrame:
+def enriched_transaction_stream(messages: DataFrame) -> DataFrame:
     """Decode, stamp processing time, enrich."""
-    decoded = decode_messages(messages, schema, required="ts")
-    return enrich_transactions(with_processing_time(decoded))
+    return enrich_transactions(with_processing_time(decode_transactions(messages)))

@@ -7,8 +7,9 @@ every batch whose commit marker is missing. Two sinks here survive that:
   log names the files of committed batches, and Spark readers trust only
   those, so a replayed batch is never counted twice.
 * ``batch_writer`` for ``foreachBatch`` -- every batch lands in its own
-  ``batch_id=<n>`` partition written with *dynamic* partition overwrite, so a
-  replay replaces exactly the files of that batch. Any engine can read it.
+  ``batch_id=<n>`` folder, which a replay replaces as a whole, also if the code
+  has changed in between. Any engine can read it. ``compact_batches`` folds
+  finished batches into one partitioned table.
 
 Checkpoints always live outside the data directory, under the caller's
 shared folder.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,7 +40,7 @@ def trigger_options(processing_time: str | None = None, available_now: bool = Fa
 def batch_writer(path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
                  on_batch: Callable[[int, int], None] | None = None):
     """A ``foreachBatch`` function writing each micro-batch to
-    ``path/batch_id=<n>/<partition_by...>`` with dynamic overwrite.
+    ``path/batch_id=<n>/<partition_by...>``, replacing that whole folder.
 
     The row count comes from an ``Observation`` on the write itself (D3),
     not from a second job over the batch. With ``partition_by`` the batch is
@@ -50,16 +51,30 @@ def batch_writer(path: str, partition_by: Sequence[str] = (), fmt: str = "parque
         obs = Observation(f"batch_{batch_id}")
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        out = df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")).observe(
-            obs, F.count(F.lit(1)).alias("rows"))
-        (out.write.format(fmt).mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL, *partition_by).save(path))
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(*partition_by).save(f"{path}/{BATCH_COL}={batch_id}"))
         if on_batch is not None:
             on_batch(batch_id, obs.get["rows"])
     return write
 
 
+def compact_batches(spark: SparkSession, path: str, into: str, partition_by: Sequence[str] = (),
+                    up_to: int | None = None) -> DataFrame:
+    """Fold the batches of ``path`` (those up to batch ``up_to``, which must be
+    committed) into one table at ``into``, few files a partition; a rerun
+    replaces it. The batch folders stay; the caller drops them once readers
+    have moved on."""
+    rows = spark.read.parquet(path)
+    if up_to is not None:
+        rows = rows.where(F.col(BATCH_COL) <= up_to)
+    rows = rows.drop(BATCH_COL)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(into)
+    return spark.read.parquet(into)
+
+
 def _start(writer, df: DataFrame, state_partitions: int | None) -> StreamingQuery:
     """Start a stream. ``state_partitions`` fixes the number of state-store
     partitions of a stateful query; Spark records it in the checkpoint at
@@ -87,13 +102,18 @@ def start_batch_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
                     fmt: str = "parquet", trigger: dict | None = None,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None, files_per_partition: int = 4) -> StreamingQuery:
     """K3 with Spark's exactly-once file sink (append mode only).
 
-    Streaming plans run without AQE, so no rebalance here: every task writes
-    one file per partition directory it sees. Prefer ``start_batch_sink``
-    with ``partition_by`` when per-batch file counts matter more than the
-    file sink's metadata log."""
+    Rows are first dealt by the partition columns and a salt in
+    ``[0, files_per_partition)``, so a batch writes at most that many files into
+    a directory, however many tasks read its input; raise it where one
+    directory holds more than a task should write. (Streaming plans run without
+    AQE, so nothing splits it later.) The sink's metadata log lists every file
+    and is compacted on the driver: bound the files with long triggers."""
+    if partition_by:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
     w = (df.writeStream.format(fmt).outputMode("append")
            .option("checkpointLocation", checkpoint).option("path", path))
     if partition_by:
@@ -104,9 +124,11 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
 
 
 def start_console_sink(df: DataFrame, output_mode: str = "update", truncate: bool = False,
-                       trigger: dict | None = None) -> StreamingQuery:
+                       trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """K4: print each batch (for interactive use; tests use the other sinks)."""
     w = df.writeStream.format("console").outputMode(output_mode).option("truncate", truncate)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()

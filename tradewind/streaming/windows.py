@@ -37,7 +37,9 @@ def windowed_trade_stats(df: DataFrame, time_col: str = "event_timestamp",
 
     A null event time is dropped by ``window``; a null group is kept as its
     own group. ``sort`` orders by window, which Spark only accepts for a
-    batch frame or a stream in complete mode (D1).
+    batch frame or a stream in complete mode (D1). Complete mode keeps every
+    window in state and writes the whole result each batch: for bounded input
+    only.
     """
     if watermark:
         df = df.withWatermark(time_col, watermark)
