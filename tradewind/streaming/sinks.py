@@ -108,8 +108,8 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
     Rows are first dealt by the partition columns and a salt in
     ``[0, files_per_partition)``, so a batch writes at most that many files into
     a directory, however many tasks read its input; raise it where one
-    directory holds more than a task should write. (Streaming plans run without
-    AQE, so nothing splits it later.) The sink's metadata log lists every file
+    directory holds more than a task should write.
+    The sink's metadata log lists every file
     and is compacted on the driver: bound the files with long triggers."""
     if partition_by:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
