@@ -42,6 +42,11 @@ def test_code_switched_text_and_edge_rows(spark):
             assert r.lang_pred in ("de", "en", "es", "fr") and 0 < r.score <= 1
 
 
+def test_letters():
+    assert all(map(L.has_letter, ["a", "é", "中", "12x"]))
+    assert not any(map(L.has_letter, ["", "12", "²½", "\U0001f642", "_-!"]))
+
+
 def test_no_rows_and_no_labels(spark):
     model = L.fit_languages(empty_docs(spark))
     assert model is None and L.identify(empty_docs(spark), model).count() == 0

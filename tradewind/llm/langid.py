@@ -23,7 +23,11 @@ SAMPLE_CHARS = 20_000  # of one sampled document
 RUNS = 6              # runs of words taken from each sampled document
 SHORTEST, LONGEST = 5, 40  # words in a run
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
 def sample_rows(df: DataFrame, label_col: str, text_col: str, order, per_label: int, chars: int = SAMPLE_CHARS) -> list:
@@ -99,7 +103,7 @@ def identify(df: DataFrame, model: crf.Model | None, id_col: str = "doc_id", tex
                     mass = sums[words.first[1:]] - sums[words.first[:-1]]
                     for i, t in enumerate(texts):
                         n = int(words.first[i + 1] - words.first[i])
-                        if n and _LETTER.search(t):
+                        if n and has_letter(t):
                             best = int(mass[i].argmax())
                             rows[i] = (m.labels[best], min(1.0, float(mass[i, best] / n)), n,
                                        {label: float(x) for label, x in zip(m.labels, mass[i], strict=True)})
