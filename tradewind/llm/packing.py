@@ -12,6 +12,7 @@ arithmetic. Token ids never move.
 """
 from __future__ import annotations
 
+import os
 import zlib
 from functools import cache
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradewind.llm.chunks import Chunks, cut, plain
+from tradewind.llm.chunks import Chunks, cut
 from tradewind.llm.common import materialize, read, text_batches
 
 MAX_LEN = 1024
@@ -33,25 +34,56 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 @cache
 def _encoder(path: str):
-    """Per worker: text -> its ids as little-endian 32-bit bytes."""
+    """Per worker: texts -> their ids as int32 arrays."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
 
-    def encode(chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
+    def alone(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.int32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    known = Chunks(encode, b"")
+    # A space and letters are one match of the byte-level pattern, so the
+    # tokenizer's own model takes them as they are, spelled in its alphabet.
+    spelling = _spelling(tok)
+    model = tok.model
 
-    def ids(texts: list[str]) -> list[bytes]:
-        easy = [plain(t) and not any(s in t for s in special) for t in texts]
-        quick = iter(known.values([cut(t) for t, ok in zip(texts, easy, strict=True) if ok]))
-        whole = iter(encode([t for t, ok in zip(texts, easy, strict=True) if not ok]))
-        return [b"".join(next(quick)) if ok else next(whole) for ok in easy]
+    def encode(chunks: list[str]) -> list[np.ndarray]:
+        out = [None] * len(chunks)
+        rest = []
+        for i, c in enumerate(chunks):
+            if spelling and c[c[:1] == " ":].isalpha():
+                out[i] = [t.id for t in model.tokenize(c.encode().decode("latin-1").translate(spelling))]
+            else:
+                rest.append(i)
+        for i, ids in zip(rest, alone([chunks[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    known = Chunks(encode)
+
+    def ids(texts: list[str]) -> list[np.ndarray]:
+        parts = [None if any(s in t for s in special) else cut(t) for t in texts]
+        quick = iter(known.ids([p for p in parts if p is not None]))
+        whole = iter(alone([t for t, p in zip(texts, parts, strict=True) if p is None]))
+        return [next(whole if p is None else quick) for p in parts]
 
     return ids
 
 
+def _spelling(tok) -> dict[int, str] | None:
+    """The alphabet in which a byte-level tokenizer spells bytes: printable
+    Latin-1 as itself, the others in order from U+0100. None unless the
+    tokenizer is byte-level, with its pattern and nothing before it."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    moved = [b for b in range(256) if b not in set(kept)]
+    table = {b: chr(b) for b in kept} | {b: chr(0x100 + i) for i, b in enumerate(moved)}
+    probe = " été"
+    spelled = probe.encode().decode("latin-1").translate(table)
+    whole = tok.normalizer is None and tok.pre_tokenizer is not None and [x for x, _ in tok.pre_tokenizer.pre_tokenize_str(probe + " a1")] == [spelled, "\u0120a", "1"]
+    return table if whole else None
+
+
 def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
                  max_len: int = MAX_LEN, keep_ids: bool = False) -> DataFrame:
     """Pieces of at most ``max_len`` ids: ``id``, ``start``, ``length``,
@@ -63,14 +95,13 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         from pyspark import TaskContext
         part, encode = TaskContext.get().partitionId(), _encoder(tokenizer)
         count = np.zeros(max_len // GRAIN + 2, dtype=np.int64)
-        end = np.array([END], dtype="<u4").tobytes()
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "class", "part", "idx"] + ["ids"] * keep_ids
         kinds = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * keep_ids
         for whole in batches:
             for b in text_batches(whole, ["text"], 2_000_000):
                 rows = []
                 for rid, ids in zip(b.column("id").to_pylist(), encode([t or "" for t in b.column("text").to_pylist()]), strict=True):
-                    ids += end
+                    ids = np.append(ids, END).astype("<u4").tobytes()
                     n = len(ids) // 4
                     for at in range(0, n, max_len):
                         piece = ids[4 * at:4 * (at + max_len)]
@@ -188,7 +219,7 @@ def plan(histogram: dict[int, int], room: int, gap: float = GAP) -> list[tuple[i
     return out
 
 
-def pack(pieces: DataFrame, max_len: int = MAX_LEN, gap: float = GAP) -> DataFrame:
+def pack_pieces(pieces: DataFrame, max_len: int = MAX_LEN, gap: float = GAP) -> DataFrame:
     """``pieces`` (columns ``length``, ``class``, ``part``, ``idx`` and any
     more) with ``sequence_id`` and ``offset`` (gapless from 0). The input must
     be a written table, so that numbers within a task stay as they are. No
@@ -216,9 +247,9 @@ def pack(pieces: DataFrame, max_len: int = MAX_LEN, gap: float = GAP) -> DataFra
 def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
                    max_len: int = MAX_LEN, keep_ids: bool = False) -> DataFrame:
     """Tokenize, cut and pack the rows of ``df``; see ``token_pieces`` and
-    ``pack``. Repeated rows and null ids are packed like any others; an empty
+    ``pack_pieces``. Repeated rows and null ids are packed like any others; an empty
     table gives an empty result."""
-    return pack(materialize(token_pieces(df, id_col, text_col, tokenizer, max_len, keep_ids), "pieces"), max_len)
+    return pack_pieces(materialize(token_pieces(df, id_col, text_col, tokenizer, max_len, keep_ids), "pieces"), max_len)
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:
