@@ -1,11 +1,13 @@
 """Byte-level BPE by recursive queries.
 
 Each task runs DuckDB in memory. A recursive query holds every new word's
-tokens; a step joins its token positions to the merge table, takes the
-leftmost pair of minimum rank in each word, contracts it, and goes on until no
-word has a pair left. Decoding joins a document's token positions to the
-vocabulary and aggregates them in order. Spark deals out the documents; chunks
-of text met before keep their ids in a table of bounded size.
+tokens; a step joins its token positions to the merge table, takes the leftmost
+pair of minimum rank in each word, contracts it, and goes on until no word has
+a pair left. Decoding joins token positions to the vocabulary and aggregates
+the tokens' bytes in order. Spark deals out the documents; chunks of text met
+before keep their ids, and what those decoded to, in a table of bounded size, so
+both queries run over new chunks only and a document's ids decode as the
+sequence of its chunks' ids.
 """
 from __future__ import annotations
 
@@ -36,12 +38,12 @@ ENCODE = f"""
 WITH RECURSIVE enc(word, ids) AS (
   {_START}
  UNION ALL
-  SELECT word, list_concat(list_append(ids[1:(pos - 1)], rank), ids[(pos + 2):])
-  FROM (SELECT word, ids, (best // {_POSITIONS})::INT AS rank, best % {_POSITIONS} AS pos
-        FROM (SELECT t.word, any_value(t.ids) AS ids, min(m.rank::BIGINT * {_POSITIONS} + t.pos) AS best
-              FROM (SELECT word, ids, unnest(range(1, len(ids))) AS pos FROM enc) t
-              JOIN merges m ON m.a = t.ids[t.pos] AND m.b = t.ids[t.pos + 1]
-              GROUP BY t.word)))
+  SELECT e.word, list_concat(list_append(e.ids[1:(best % {_POSITIONS} - 1)], (best // {_POSITIONS})::INT), e.ids[(best % {_POSITIONS} + 2):])
+  FROM enc e
+  JOIN (SELECT t.word, min(m.rank::BIGINT * {_POSITIONS} + t.pos) AS best
+        FROM (SELECT word, unnest(ids[1:(len(ids) - 1)]) AS a, unnest(ids[2:]) AS b, unnest(range(1, len(ids))) AS pos FROM enc) t
+        JOIN merges m ON m.a = t.a AND m.b = t.b
+        GROUP BY t.word) x ON x.word = e.word)
 SELECT word, arg_min(ids, len(ids)) AS ids FROM enc GROUP BY word ORDER BY word
 """
 
@@ -69,11 +71,9 @@ SELECT word, ids FROM enc ORDER BY word
 
 LONG = 64  # bytes from which a word counts as long
 
+#: A token's bytes are spelled as the code points from U+0100 on.
 DECODE = """
-SELECT doc, list(tok ORDER BY pos) AS toks
-FROM (SELECT d.doc, d.pos, v.tok
-      FROM (SELECT doc, unnest(ids) AS id, unnest(range(len(ids))) AS pos FROM docs) d JOIN vocab v USING (id))
-GROUP BY doc
+SELECT seq, string_agg(v.spelled, '' ORDER BY t.pos) AS spelled FROM toks t JOIN vocab v USING (id) GROUP BY seq
 """
 
 
@@ -105,8 +105,10 @@ class Bpe:
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         a, b, rank = (np.array(c, dtype=np.int32) for c in merge_table(self.ranks))
         self._table("merges", pa.table({"a": a, "b": b, "rank": rank, "safe": ~np.isin(rank, lowered(a, b, rank))}))
-        self._table("vocab", pa.table({"tok": pa.array(list(self.ranks), pa.binary()), "id": pa.array(list(self.ranks.values()), pa.int32())}))
-        self.known = Chunks(self._encode_chunks, (b"", ""))
+        self._table("vocab", pa.table({"tok": pa.array(list(self.ranks), pa.binary()), "id": pa.array(list(self.ranks.values()), pa.int32()),
+                                       "spelled": ["".join(chr(0x100 + c) for c in t) for t in self.ranks]}))
+        self.known = Chunks(self._encode_chunks, self.decode)
+        self.decimal = [str(i) for i in range(max(self.ranks.values()) + 1)]
         self.stand_in: dict[int, str] = {}
 
     def _table(self, name, rows):
@@ -128,6 +130,8 @@ class Bpe:
     def words(self, text: str) -> list[str]:
         """Matches of the pattern. Code points whose class may differ between
         regex engines are matched as a plain one of the library's class."""
+        if text[text[:1] == " ":].isalpha() and plain(text):
+            return [text]  # one match
         if plain(text):
             return self.pattern.findall(text)
         odd = {c for c in set(text) if not plain(c)}
@@ -155,36 +159,30 @@ class Bpe:
         self.con.register("words", pa.table({"word": pa.array(np.arange(len(raw)), pa.int32()), "raw": pa.array(raw, pa.binary()), "ids": ids}))
         got = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
         self.con.unregister("words")
-        flat, at = got.flatten().to_numpy().astype("<i4"), np.diff(got.offsets.to_numpy()).cumsum()
-        return np.split(flat, at[:-1])
+        flat, ends = got.flatten().to_numpy().astype(np.int32), np.diff(got.offsets.to_numpy()).cumsum().tolist()
+        return [flat[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
 
-    def _encode_chunks(self, chunks: list[str]) -> list[tuple[bytes, str]]:
+    def _encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
         split = [self.words(c) for c in chunks]
-        words = sorted(set().union(*split)) if split else []
+        words = sorted(set().union(*split))
         ids = dict(zip(words, self.encode_words(words), strict=True))
-        out = []
-        for s in split:
-            of = np.concatenate([ids[w] for w in s]) if s else np.zeros(0, dtype="<i4")
-            out.append((of.tobytes(), "".join(f" {i}" for i in of.tolist())))
-        return out
+        return [ids[s[0]] if len(s) == 1 else np.concatenate([ids[w] for w in s]) if s else np.zeros(0, dtype=np.int32) for s in split]
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Per text: its ids as little-endian 32-bit bytes, and as decimals
-        joined by a space."""
-        values = self.known.values([cut(t) if plain(t) else [t] for t in texts])
-        return [(b"".join(v[0] for v in of), "".join(v[1] for v in of)[1:]) for of in values]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        return self.known.ids([[t] if (c := cut(t)) is None else c for t in texts])
 
-    def decode(self, ids: list[bytes]) -> list[bytes]:
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each id sequence, by ordered aggregation."""
         import pyarrow as pa
-        flat = np.frombuffer(b"".join(ids), dtype="<i4")
-        seqs = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) // 4 for x in ids]), pa.int32()), pa.array(flat))
-        self.con.register("docs", pa.table({"doc": pa.array(np.arange(len(ids)), pa.int32()), "ids": seqs}))
+        flat = np.concatenate([np.zeros(0, dtype=np.int32), *ids])
+        seq = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
+        self.con.register("toks", pa.table({"seq": seq, "pos": np.arange(len(flat)), "id": flat}))
         got = self.con.sql(DECODE).to_arrow_table()
-        self.con.unregister("docs")
+        self.con.unregister("toks")
         out = [b""] * len(ids)
-        for doc, toks in zip(got.column("doc").to_pylist(), got.column("toks").to_pylist(), strict=True):
-            out[doc] = b"".join(toks)
+        for i, spelled in zip(got.column("seq").to_pylist(), got.column("spelled").to_pylist(), strict=True):
+            out[i] = spelled.encode("utf-16-le")[::2]  # the low bytes
         return out
 
 
@@ -203,15 +201,16 @@ def encode_decode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow as pa
         bpe = _bpe(ranks_path, pattern)
         for whole in batches:
-            for b in text_batches(whole, ["text"], 3_000_000):
+            for b in text_batches(whole, ["text"], 6_000_000):
                 got = bpe.encode([t or "" for t in b.column("text").to_pylist()])
-                back = bpe.decode([x for x, _ in got])
+                back = bpe.known.decoded()
                 if digests:
-                    cols = [pa.array([len(x) // 4 for x, _ in got], pa.int64()), pa.array([hashlib.sha256(s.encode()).hexdigest() for _, s in got], pa.string()),
+                    spelled = [" ".join(map(bpe.decimal.__getitem__, x.tolist())) for x in got]
+                    cols = [pa.array([len(x) for x in got], pa.int64()), pa.array([hashlib.sha256(s.encode()).hexdigest() for s in spelled], pa.string()),
                             pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string())]
                     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    cols = [pa.array([np.frombuffer(x, dtype="<i4") for x, _ in got], pa.list_(pa.int32())), pa.array(back, pa.binary())]
+                    cols = [pa.array(got, pa.list_(pa.int32())), pa.array(back, pa.binary())]
                     names = ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays([b.column("id"), *cols], names=["id", *names])
 
