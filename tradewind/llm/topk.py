@@ -21,9 +21,9 @@ from tradewind.llm.common import materialize, read, shuffle_partitions
 
 K = 20
 SCALE = 64
-QUERIES = 4096            # in a block of queries
+QUERIES = 2048            # in a block of queries
 CANDIDATES = 4096         # in a block of candidates
-DEPTHS = (1 / 8, 1 / 2)   # of the lists, before scores are resolved
+DEPTHS = (1 / 4, 1 / 2)   # of the lists, before scores are resolved
 
 
 def quantized(df: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -45,6 +45,11 @@ class NoRandomAccess:
         self.best = np.zeros((0, 4), dtype=np.int64)  # query, score, id, rid
         self.floor = np.full(len(vectors), -np.inf)   # k-th score so far
 
+    def _raise(self, queries: np.ndarray, known: np.ndarray) -> None:
+        """Raise the queries' floors to the k-th of scores known at least."""
+        at = known.shape[1] - self.k
+        self.floor[queries] = np.maximum(self.floor[queries], np.partition(known, at, axis=1)[:, at])
+
     def add(self, rids: np.ndarray, ids: np.ndarray, c: np.ndarray) -> None:
         most = float(np.abs(c).max(initial=0)) * float(np.abs(self.q).sum(axis=1).max(initial=0))
         kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64  # exact in each
@@ -59,20 +64,20 @@ class NoRandomAccess:
                 break
             top, bottom = lists[len(c) - at], lists[at - 1]  # frontiers of the lists from either end
             part = c[rows]
-            upper = np.maximum(part, top) @ up[queries].T + np.minimum(part, bottom) @ down[queries].T
-            if not np.isfinite(self.floor[queries]).all() and len(rows) > self.k:
-                lower = np.where(part >= top, part, low) @ up[queries].T + np.where(part <= bottom, part, high) @ down[queries].T
-                lower = np.where(rids[rows][:, None] == self.rids[queries][None], -np.inf, lower)
-                known = np.partition(lower, len(rows) - self.k, axis=0)[len(rows) - self.k]
-                self.floor[queries] = np.maximum(self.floor[queries], known)
-            open_ = upper >= self.floor[queries]
-            rows, queries = rows[open_.any(axis=1)], queries[open_.any(axis=0)]
+            if len(rows) > self.k:
+                lower = up[queries] @ np.where(part >= top, part, low).T + down[queries] @ np.where(part <= bottom, part, high).T
+                self._raise(queries, np.where(self.rids[queries][:, None] == rids[rows], -np.inf, lower))
+            upper = up[queries] @ np.maximum(part, top).T + down[queries] @ np.minimum(part, bottom).T
+            open_ = upper >= self.floor[queries][:, None]
+            queries, rows = queries[open_.any(axis=1)], rows[open_.any(axis=0)]
         if not len(queries) or not len(rows):
             return
-        score = c[rows] @ q[queries].T
-        hit = (score >= self.floor[queries]) & (rids[rows][:, None] != self.rids[queries][None])
-        r, s = np.nonzero(hit)
-        new = np.stack([queries[s], score[r, s].astype(np.int64), ids[rows[r]], rids[rows[r]]], axis=1)
+        score = q[queries] @ c[rows].T
+        own = self.rids[queries][:, None] == rids[rows]
+        if len(rows) > self.k:
+            self._raise(queries, np.where(own, -np.inf, score))
+        s, r = np.nonzero((score >= self.floor[queries][:, None]) & ~own)
+        new = np.stack([queries[s], score[s, r].astype(np.int64), ids[rows[r]], rids[rows[r]]], axis=1)
         every = np.concatenate([self.best, new])
         every = every[np.lexsort((every[:, 3], every[:, 2], -every[:, 1], every[:, 0]))]
         first = np.searchsorted(every[:, 0], np.arange(len(self.q) + 1))
@@ -90,8 +95,9 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "em
     id too. An empty table gives an empty result."""
     spark = df.sparkSession
     rows = materialize(quantized(df, id_col, vector_col, scale), "vectors")
-    sizes = rows.agg(F.max(F.size("v")).alias("d"), F.count(F.when(is_query, 1)).alias("q")).first()
-    width, blocks, cells = sizes["d"] or 0, max(1, -(-sizes["q"] // QUERIES)), 2 * shuffle_partitions(spark)
+    sizes = rows.agg(F.max(F.size("v")).alias("d"), F.count(F.when(is_query, 1)).alias("q"), F.count("*").alias("n")).first()
+    width, blocks = sizes["d"] or 0, max(1, -(-sizes["q"] // QUERIES))
+    cells = max(1, min(2 * shuffle_partitions(spark), -(-sizes["n"] // CANDIDATES)))  # each a block or more
     deal = F.pmod(F.xxhash64("rid"), F.lit(blocks))
     asked = rows.where(is_query).select("rid", "id", "v", F.lit(0).alias("kind"), deal.cast("int").alias("block"),
                                         F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
