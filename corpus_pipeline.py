@@ -19,6 +19,10 @@ from tradewind.llm.toxicity import fit_toxicity, score
 #: shares would be 0.25.
 LEAST_SCORE = 0.3
 
+#: Words in a shingle and least Jaccard, in percent, of near duplicates. op3's
+#: contract has its own (4 words, 85).
+DEDUP_WORDS, DEDUP_PERCENT = 5, 80
+
 
 def _rows(found, docs, keep):
     """The documents whose row in ``found`` meets ``keep``; the operator's own
@@ -41,10 +45,11 @@ def toxicity(spark, docs, sf_dir):
 
 
 def dedup(spark, docs, sf_dir):
-    """One row of each near-duplicate group: of the smallest doc_id, and if
-    that has several texts in the group, of the smallest text hash. Documents
-    without words and rows without a doc_id stay."""
-    groups = jaccard_components(docs).where("id is not null and component is not null").select("id", "text_hash", "component")
+    """One row of each near-duplicate group (linked by 5-word shingles at
+    Jaccard 0.8 or more): of the smallest doc_id, and if that has several texts
+    in the group, of the smallest text hash. Documents without words and rows
+    without a doc_id stay."""
+    groups = jaccard_components(docs, n=DEDUP_WORDS, percent=DEDUP_PERCENT).where("id is not null and component is not null").select("id", "text_hash", "component")
     first = groups.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("first"))
     drop = groups.join(first, "component").where((F.col("id") != F.col("first.id")) | (F.col("text_hash") != F.col("first.text_hash")))
     drop = drop.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()

@@ -1,4 +1,6 @@
 """The pipeline against its parts done plainly."""
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
@@ -45,3 +47,30 @@ def test_stages_take_edge_rows(spark):
     empty = empty_docs(spark)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_dedup_links_five_words_from_four_fifths_on(spark):
+    """Copies on both sides of 0.8, by a replaced run and by appended words,
+    and where 4-word and 5-word shingles disagree."""
+    rng = random.Random(3)
+    def words(k):
+        return [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    rows = []
+    for run in (0, 30, 38, 44, 50, 51, 52, 53, 54, 60):
+        base = words(500)
+        rows += [base, base[:200] + words(run) + base[200 + run:]]
+    for more in (80, 90, 110, 120, 124, 125, 130):
+        base = words(500)
+        rows += [base, base + words(more)]
+    for holes in (8, 10, 11, 12, 13, 14):  # each costs n shingles
+        base = words(500)
+        copy = list(base)
+        for i in range(holes):
+            copy[20 + 35 * i] = f"x{rng.randrange(10**9)}"
+        rows += [base, copy]
+    sets = [{tuple(r[i:i + 5]) for i in range(len(r) - 4)} for r in rows]
+    shares = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    assert sum(0.8 <= s < 0.85 for s in shares) >= 5 and sum(s < 0.8 for s in shares) >= 3
+    stay = {i for i in range(len(rows)) if i % 2 == 0 or shares[i // 2] < 0.8}
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in P.dedup(spark, docs, SF).collect()} == stay
