@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from pyspark.sql import functions as F
@@ -53,3 +54,23 @@ def test_no_rows_and_no_labels(spark):
     unlabelled = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
     assert L.fit_languages(unlabelled) is None
     assert {r.lang_pred for r in L.identify(unlabelled, None).collect()} == {"und"}
+
+
+def test_language_of_long_documents_only_is_learned(spark):
+    """Long documents of a language that no short one has; its window differs
+    from the text's beginning."""
+    def text(letters, k, size):
+        rng = random.Random(k)
+        return " ".join("".join(rng.choices(letters, k=rng.randrange(3, 9))) for _ in range(size))
+    rows = [(k, "aa", text("abcdef", k, 50)) for k in range(60)] + [(100 + k, "bb", text("uvwxyz", k, 5000)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert all(len(t) > L.SAMPLE_CHARS for _, lang, t in rows if lang == "bb")
+    order = F.xxhash64("doc_id")
+    sample = L.sample_rows(docs, "lang", "text", order, 100)
+    texts = {lang: [t for _, x, t in rows if x == lang] for lang in ("aa", "bb")}
+    assert sorted(t for lang, t in sample if lang == "aa") == sorted(texts["aa"])
+    windows = [t for lang, t in sample if lang == "bb"]
+    assert len(windows) == 60 and all(len(t) == L.SAMPLE_CHARS and any(t in x for x in texts["bb"]) for t in windows)
+    assert any(not x.startswith(t) for t in windows for x in texts["bb"] if t in x)
+    out = L.identify(docs, L.fit_languages(docs)).collect()
+    assert {r.id: r.lang_pred for r in out} == {k: lang for k, lang, _ in rows}

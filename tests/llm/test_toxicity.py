@@ -43,3 +43,17 @@ def test_edge_rows_and_offsets(spark):
 def test_labels_that_fit_nothing(spark):
     labels = spark.createDataFrame([(1, 0, None), (None, 1, 1), (99, 0, 1), (2, 0, 7)], "doc_id long, quality int, toxic int")
     assert T.fit_toxicity(edge_docs(spark), labels) is None
+
+
+def test_class_of_long_documents_only_is_learned(spark):
+    rng = random.Random(4)
+
+    def text(label, size):
+        words = ["".join(rng.choices("aeiourstln", k=6)) for _ in range(size)]
+        return " ".join("grumble" + "".join(rng.choices("dfkn", k=3)) if label and i % 40 == 7 else w for i, w in enumerate(words))
+    rows = [(i, text(i % 2, 4000 if i % 2 else 60)) for i in range(120)]
+    assert all(len(t) > 20_000 for i, t in rows if i % 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    got = {r.id: r.predicted for r in T.score(docs, T.fit_toxicity(docs, labels)).collect()}
+    assert got == {i: i % 2 for i, _ in rows}

@@ -1,11 +1,12 @@
 """Language identification with a linear-chain conditional random field.
 
 Training reads a bounded sample of labelled rows: about ``SAMPLE`` documents a
-language (by a hash of the id) of at most ``SAMPLE_CHARS`` characters. Runs of
-their words are strung into code-switched texts, each word labelled with its
-document's language, so the learned transitions know both staying and
-switching. Every word of every whole text is then labelled by forward-backward;
-a document's language is the label with the largest summed marginal.
+language (by a hash of the id), whatever their length; of a longer one, a
+window of ``SAMPLE_CHARS`` characters. Runs of their words are strung into
+code-switched texts, each word labelled with its document's language, so the
+learned transitions know both staying and switching. Every word of every whole
+text is then labelled by forward-backward; a document's language is the label
+with the largest summed marginal.
 """
 from __future__ import annotations
 
@@ -19,7 +20,7 @@ from tradewind.llm import crf
 from tradewind.llm.common import carried, crc32_mod, read, text_batches
 
 SAMPLE = 400          # documents a language
-SAMPLE_CHARS = 20_000  # of one sampled document
+SAMPLE_CHARS = 20_000  # of one sampled document: a longer one's window
 RUNS = 6              # runs of words taken from each sampled document
 SHORTEST, LONGEST = 5, 40  # words in a run
 UNKNOWN = "und"
@@ -30,11 +31,20 @@ def has_letter(text: str) -> bool:
     return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
+def window(text_col: str, order, chars: int = SAMPLE_CHARS):
+    """A text of at most ``chars`` characters as it is; of a longer one a
+    window of so many, at a place drawn from the hash ``order``."""
+    text, size = F.col(text_col), F.length(text_col)
+    at = F.pmod(F.xxhash64(order), (size - chars + 1).cast("long")) + 1
+    return F.when(size <= chars, text).otherwise(F.substr(text, at.cast("int"), F.lit(chars)))
+
+
 def sample_rows(df: DataFrame, label_col: str, text_col: str, order, per_label: int, chars: int = SAMPLE_CHARS) -> list:
     """About ``per_label`` rows of each label, picked by the hash ``order``
     (a column): counts first, then one filtering pass. At most ``2 *
-    per_label`` rows a label are kept, lowest hashes first."""
-    rows = df.where(F.col(label_col).isNotNull() & (F.length(text_col) <= chars))
+    per_label`` rows a label are kept, lowest hashes first; of each text its
+    ``window``."""
+    rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r["n"] for r in rows.groupBy(label_col).agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
@@ -42,7 +52,7 @@ def sample_rows(df: DataFrame, label_col: str, text_col: str, order, per_label:
     for label, n in counts.items():
         share = F.when(F.col(label_col) == label, F.lit(min(1.0, 1.3 * per_label / n))).otherwise(share)
     unit = (F.pmod(order, F.lit(1 << 30)) / float(1 << 30))
-    picked = rows.where(unit < share).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), order.alias("o"))
+    picked = rows.where(unit < share).select(F.col(label_col).alias("label"), window(text_col, order, chars).alias("text"), order.alias("o"))
     picked = picked.orderBy("o").limit(2 * per_label * len(counts)).collect()
     kept: dict = {}
     for r in sorted(picked, key=lambda r: (r["o"], r["text"])):

@@ -1,13 +1,13 @@
 """Toxicity: a linear-chain conditional random field tags offending words.
 
 Labels exist per document. A bounded sample of labelled documents (``SAMPLE``
-a class, at most ``SAMPLE_CHARS`` characters each) yields labelled tokens: a
-word of a toxic document is offending if the word, or its first 4 or 5
-letters, stands in many times more toxic than clean documents; every other
-word, and every word of a clean document, is not. The field learns from these
-and so tags forms it has not seen. A document's score is a logistic function,
-fitted on the same sample, of its whole text's marginals: the two largest and
-the sum over tagged words.
+a class, of a longer one a window of ``SAMPLE_CHARS`` characters) yields
+labelled tokens: a word of a toxic document is offending if the word, or its
+first 4 or 5 letters, stands in many times more toxic than clean documents;
+every other word, and every word of a clean document, is not. The field learns
+from these and so tags forms it has not seen. A document's score is a logistic
+function, fitted on the same sample, of its whole text's marginals: the two
+largest and the sum over tagged words.
 """
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import crf
 from tradewind.llm.common import carried, crc32_mod, read, text_batches
-from tradewind.llm.langid import SAMPLE_CHARS
+from tradewind.llm.langid import window
 
 SAMPLE = 1200   # documents a class
 RATIO = 20      # times as frequent in toxic documents
@@ -164,9 +164,9 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     order = F.xxhash64(F.col("lid"), F.lit("toxic"))
     picks = [known.where(F.col("toxic") == k).orderBy(order, "lid").limit(per_class) for k in (0, 1)]
     ids = df.sparkSession.createDataFrame([(r["lid"], r["toxic"]) for p in picks for r in p.collect()], "lid long, toxic int")
-    texts = df.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
+    texts = df.where(F.col(text_col).isNotNull())
     rows = (texts.join(F.broadcast(ids), F.col(id_col) == F.col("lid"))  # 2 * per_class rows
-            .select("toxic", F.col(text_col).alias("text"), order.alias("o")).limit(4 * per_class).collect())
+            .select("toxic", window(text_col, order).alias("text"), order.alias("o")).limit(4 * per_class).collect())
     return train([(r["toxic"], r["text"]) for r in sorted(rows, key=lambda r: (r["o"], r["text"]))])
 
 
