@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
@@ -55,13 +56,32 @@ def brute(texts):
 @settings(max_examples=200, deadline=None)
 @given(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60)))
 def test_gallop(x, y):
-    x, y = sorted(x), sorted(y)
-    assert A.gallop(x, y) == [(x.index(v), y.index(v)) for v in sorted(set(x) & set(y))]
+    x, y = (np.array(sorted(v), dtype=np.int64) for v in (x, y))
+    n = np.full(len(x), len(y))
+    assert A.gallop(x, y, 0 * n, n).tolist() == [y.tolist().index(v) if v in y else -1 for v in x]
 
 
-def test_groups_partition_the_tokens():
-    assert A.groups([2, 3, 7, 9], [3, 5, 9]) == [(0, 2, 0, 1), (2, 4, 1, 3)]
-    assert A.groups([5], [1, 2, 5]) == [(0, 1, 0, 3)] and A.groups([], []) == []
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(1, 29)), st.sets(st.integers(1, 29))), max_size=5))
+def test_common_ends(texts):
+    """Texts of 30 bytes; both lists of a text end at its end."""
+    ends = [np.array([30 * k + v for k, t in enumerate(texts) for v in [*sorted(t[i]), 30]], dtype=np.int64) for i in (0, 1)]
+    stops = [np.cumsum([len(t[i]) + 1 for t in texts]).astype(np.int64) for i in (0, 1)]
+    a, b = A.common_ends(ends[0], stops[0], ends[1], stops[1])
+    want = sorted(set(ends[0].tolist()) & set(ends[1].tolist()))
+    assert ends[0][a].tolist() == want == ends[1][b].tolist()
+
+
+def test_wide_groups(monkeypatch):
+    texts = odd_texts(150, 8) + ["the cat sat", "\U0001f642" * 200]
+    want = [A.slice_of(ALIGNER, [t], False) for t in texts]
+    monkeypatch.setattr(A, "WIDE", 1)
+    narrow = A.Aligner()
+    for t, w in zip(texts, want, strict=True):
+        got = A.slice_of(narrow, [t], False)
+        assert (got["counts"] == w["counts"]).all() and (got["pair"] == w["pair"]).all() and (got["pair_docs"] == w["pair_docs"]).all()
+        per_pair = [np.bincount(x["link"], weights=x["link_n"], minlength=len(x["pair"])) for x in (got, w)]
+        assert (per_pair[0] == per_pair[1]).all()
 
 
 @settings(max_examples=300, deadline=None)

@@ -16,10 +16,10 @@ per slice; a document's sums are then sums over its chunks.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import json
 import os
 import re
-from bisect import bisect_left
-from collections import Counter
 from functools import cache
 
 import numpy as np
@@ -32,41 +32,60 @@ from tradewind.llm.common import materialize, read, text_batches
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
-SLICE = 1_000_000  # bytes of text a row stands for
-KNOWN = 400_000    # chunks a worker remembers
+SLICE = 4_000_000  # bytes of text a row stands for
+KNOWN = 250_000    # chunks a worker remembers
+WIDE = 1024        # links of a group that are listed one by one; of a wider group, id pairs with their number
 
 #: A single space before a visible character of which all engines agree that it
 #: is no white space.
 _CUT = re.compile("(?<! ) (?=[!-~¡-ԯ])")
-
-
-def gallop(short, long) -> list[tuple[int, int]]:
-    """Indices (in ``short``, in ``long``) of the values that both ascending lists hold."""
-    out, at, n = [], 0, len(long)
-    for i, x in enumerate(short):
-        low, high, step = at, at, 1
-        while high < n and long[high] < x:
-            low, high, step = high + 1, high + step, 2 * step
-        at = bisect_left(long, x, low, min(high, n))
-        if at == n:
-            break
-        if long[at] == x:
-            out.append((i, at))
-            at += 1
-    return out
-
-
-def groups(ends_a, ends_b) -> list[tuple[int, int, int, int]]:
-    """Token ranges ``(a from, a to, b from, b to)`` between common ends."""
-    if len(ends_a) <= len(ends_b):
-        common = gallop(ends_a, ends_b)
-    else:
-        common = [(i, j) for j, i in gallop(ends_b, ends_a)]
-    out, a, b = [], 0, 0
-    for i, j in common:
-        out.append((a, i + 1, b, j + 1))
-        a, b = i + 1, j + 1
-    return out
+#: Chunks that may stand one behind another in one text, of code points whose
+#: class is the same in all engines.
+_PLAIN = re.compile(" [!-~¡-ԯ](?:[\t\n -~¡-ԯ]*[!-~¡-ԯ])?")
+
+
+def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Index in ``long`` of each value of ``short``, -1 if it is not there. The
+    value of ``short[i]`` is looked for in the ascending stretch
+    ``long[start[i]:stop[i]]``: steps that double bracket it, then the bracket is
+    halved. All values take their steps together."""
+    low, step = start.copy(), 1
+    high = np.minimum(start + 1, stop)  # long[high - 1] is looked at next
+    going = np.flatnonzero(low < stop)
+    while len(going):
+        going = going[long[high[going] - 1] < short[going]]
+        low[going] = high[going]
+        step *= 2
+        high[going] = np.minimum(high[going] + step, stop[going])
+        going = going[low[going] < stop[going]]
+    going = np.flatnonzero(low < high)
+    while len(going):
+        middle = (low[going] + high[going]) // 2
+        less = long[middle] < short[going]
+        low[going[less]] = middle[less] + 1
+        high[going[~less]] = middle[~less]
+        going = going[low[going] < high[going]]
+    found = low < stop
+    found[found] = long[low[found]] == short[found]
+    return np.where(found, low, -1)
+
+
+def common_ends(ends_a: np.ndarray, stop_a: np.ndarray, ends_b: np.ndarray, stop_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (in ``ends_a``, in ``ends_b``) of the ends that both hold. The
+    lists are cut at ``stop_a`` and ``stop_b`` into those of one text after
+    another; in each text the shorter list is looked up in the longer."""
+    start_a, start_b = np.r_[0, stop_a[:-1]], np.r_[0, stop_b[:-1]]
+    a_drives = stop_a - start_a <= stop_b - start_b
+    out_a, out_b = [], []
+    for drives, start, stop, ends, start2, stop2, ends2 in ((a_drives, start_a, stop_a, ends_a, start_b, stop_b, ends_b),
+                                                            (~a_drives, start_b, stop_b, ends_b, start_a, stop_a, ends_a)):
+        at = _ranges(start[drives], stop[drives])
+        size = (stop - start)[drives]
+        hit = gallop(ends[at], ends2, np.repeat(start2[drives], size), np.repeat(stop2[drives], size))
+        at, hit = at[hit >= 0], hit[hit >= 0]
+        out_a.append(at if ends is ends_a else hit)
+        out_b.append(hit if ends is ends_a else at)
+    return np.sort(np.concatenate(out_a)), np.sort(np.concatenate(out_b))
 
 
 def byte_level_bytes(token: str) -> bytes:
@@ -84,7 +103,9 @@ def _byte_alphabet() -> dict[str, int]:
 
 class Tokenizers:
     """``a(texts)`` and ``b(texts)``: ids of texts that begin with a space; the
-    second tokenizer puts that space itself. ``bytes_a``, ``bytes_b``: of each id."""
+    second tokenizer puts that space itself. ``bytes_a``, ``bytes_b``: of each id.
+    ``plain_a(text)``, or None: the ids of a long text of plain chunks, for a
+    byte-level vocabulary numbered in the order of its merges (a rank is an id)."""
 
     def __init__(self, byte_level: str, pieces: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -99,10 +120,52 @@ class Tokenizers:
                         for i, p in ((i, sp.id_to_piece(i)) for i in range(sp.get_piece_size()))]
         self.a = lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
         self.b = lambda texts: sp.encode([t[1:] for t in texts], num_threads=1)
+        self.size_a, self.size_b = (np.array([len(t) for t in tokens], dtype=np.int64) for tokens in (self.bytes_a, self.bytes_b))
+        self.plain_a = self._by_rank(byte_level, set(special)) if self.size_a.all() else None
+        # What a group spells: an id and what stands behind it; behind a chunk's last, \0.
+        ids_a, ids_b = (list(map(str, range(len(tokens)))) for tokens in (self.bytes_a, self.bytes_b))
+        self.pieces = [i + end for ids, ends in ((ids_a, ",|"), (ids_b, ",;\0")) for end in ends for i in ids]
         # Chunks are pieces of their own unless a piece holds a space behind another character.
         self.separable = not any(re.search(b"[^ ] ", p) for p in self.bytes_b)
 
 
+    def _by_rank(self, byte_level: str, special: set[int]):
+        import tiktoken
+        with open(byte_level, encoding="utf-8") as f:
+            given = json.load(f)
+        level, merges = given.get("pre_tokenizer") or {}, given["model"].get("merges", [])
+        merged = [byte_level_bytes("".join(m.split(" ") if isinstance(m, str) else m)) for m in merges]
+        plain = [i for i in range(len(self.bytes_a)) if i not in special]
+        if (level.get("type"), level.get("add_prefix_space"), given.get("normalizer")) != ("ByteLevel", False, None) \
+                or [self.bytes_a[i] for i in plain[256:]] != merged or plain != list(range(len(plain))):
+            return None
+        ranks = {self.bytes_a[i]: i for i in plain}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
+class _Index(dict):
+    """Number of each chunk, in order of first sight."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = n = len(self)
+        return n
+
+
+def cut(text: str) -> list[str]:
+    """The chunks of a text that begins with a space."""
+    try:
+        text.encode("latin-1")
+        every = "  " not in text and " \n" not in text and text[-1] != " " and text.replace("\n", "").isprintable()
+    except UnicodeEncodeError:
+        every = False
+    if every:  # every space is one to cut at
+        return text.replace(" ", "\0 ").split("\0")[1:]
+    if "\0" in text:
+        return [text]
+    chunks = _CUT.sub("\0 ", text).split("\0")
+    return chunks if chunks[0] else chunks[1:]
+
+
 class Aligner:
     """Alignment of texts, chunk by chunk; chunks met before are known."""
 
@@ -111,68 +174,114 @@ class Aligner:
         self.forget()
 
     def forget(self):
-        self.index: dict[str, int] = {}
+        self.index = _Index()
+        none = np.zeros(0, dtype=np.int64)
         self.counts = np.zeros((0, 4), dtype=np.int64)  # n_a, n_b, n_groups, n_links
         self.whole = np.zeros(0, dtype=bool)            # both tokenizers spell the chunk
-        self.spelled: list[str] = []
-        self.link_end = np.zeros(0, dtype=np.int64)
-        self.link_pair, self.link_n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.spelled: list[str] = []                    # its groups
+        self.link_pair, self.link_n, self.link_start, self.link_end = none, none, none, none
+
+    def _plain_tokens(self, chunks: list[str]):
+        """Ids of plain chunks and where each chunk's end, for both tokenizers;
+        None if one does not spell them."""
+        tok, text = self.tok, "".join(chunks)
+        a, of_b = np.array(tok.plain_a(text), dtype=np.int64), tok.b(chunks)
+        b = np.array(list(itertools.chain.from_iterable(of_b)), dtype=np.int64)
+        raw = text.encode()
+        if not b"".join(map(tok.bytes_a.__getitem__, a.tolist())) == raw == b"".join(map(tok.bytes_b.__getitem__, b.tolist())):
+            return None
+        long = len(raw) != len(text)
+        ends = np.cumsum([len(c.encode()) for c in chunks] if long else [len(c) for c in chunks])
+        return (a, np.searchsorted(np.cumsum(tok.size_a[a]), ends, "right"), b, np.cumsum([len(x) for x in of_b]), np.ones(len(chunks), dtype=bool))
+
+    def _tokens(self, chunks: list[str]):
+        """The same for any chunks, and whether both spell the chunk; one that is
+        not spelled has no ids."""
+        tok = self.tok
+        a, b = tok.a(chunks), tok.b(chunks)
+        whole = [b"".join(map(tok.bytes_a.__getitem__, x)) == c.encode("utf-8", "surrogatepass") == b"".join(map(tok.bytes_b.__getitem__, y))
+                 for c, x, y in zip(chunks, a, b, strict=True)]
+        flat = []
+        for ids in (a, b):
+            ids = [x if w else [] for x, w in zip(ids, whole, strict=True)]
+            flat += [np.array(list(itertools.chain.from_iterable(ids)), dtype=np.int64), np.cumsum([len(x) for x in ids])]
+        return (*flat, np.array(whole, dtype=bool))
 
     def _learn(self, chunks: list[str]) -> None:
-        rows, whole, ends, pairs, times = [], [], [], [], []
-        size_a, size_b = self.tok.bytes_a, self.tok.bytes_b
-        base = len(self.link_pair)
-        for chunk, a, b in zip(chunks, self.tok.a(chunks), self.tok.b(chunks), strict=True):
-            raw = chunk.encode("utf-8", "surrogatepass")
-            spelled_a, spelled_b = [size_a[i] for i in a], [size_b[i] for i in b]
-            ok = b"".join(spelled_a) == raw and b"".join(spelled_b) == raw
-            whole.append(ok)
-            n_links, text = 0, []
-            if len(a) == len(b) == 1:
-                found = [(0, 1, 0, 1)]
-            else:
-                found = groups(_ends(spelled_a), _ends(spelled_b)) if ok else []
-            for a0, a1, b0, b1 in found:
-                of_a, of_b = a[a0:a1], b[b0:b1]
-                n_links += len(of_a) * len(of_b)
-                text.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
-                for i, m in Counter(of_a).items() if len(of_a) > 1 else ((of_a[0], 1),):
-                    for j, n in Counter(of_b).items() if len(of_b) > 1 else ((of_b[0], 1),):
-                        pairs.append(i << 32 | j)
-                        times.append(m * n)
-            rows.append((len(a), len(b), len(found), n_links))
-            ends.append(base + len(pairs))
-            self.spelled.append(";".join(text))
-        self.counts = np.concatenate([self.counts, np.array(rows, dtype=np.int64).reshape(-1, 4)])
-        self.whole = np.r_[self.whole, np.array(whole, dtype=bool)]
-        self.link_end = np.r_[self.link_end, np.array(ends, dtype=np.int64)]
-        self.link_pair = np.r_[self.link_pair, np.array(pairs, dtype=np.int64)]
-        self.link_n = np.r_[self.link_n, np.array(times, dtype=np.int64)]
+        plain = [self.tok.plain_a is not None and self.tok.separable and _PLAIN.fullmatch(c) is not None for c in chunks]
+        got = self._plain_tokens([c for c, p in zip(chunks, plain, strict=True) if p]) if any(plain) else None
+        if got is None:
+            plain = [False] * len(chunks)
+        order = [i for i, p in enumerate(plain) if p] + [i for i, p in enumerate(plain) if not p]
+        parts = [got] if got else []
+        if not all(plain):
+            parts.append(self._tokens([chunks[i] for i in order[sum(plain):]]))
+        a, stop_a, b, stop_b, whole = parts[0]
+        for a2, stop_a2, b2, stop_b2, whole2 in parts[1:]:
+            stop_a, stop_b, whole = np.r_[stop_a, stop_a2 + len(a)], np.r_[stop_b, stop_b2 + len(b)], np.r_[whole, whole2]
+            a, b = np.r_[a, a2], np.r_[b, b2]
+        place = np.empty(len(chunks), dtype=np.int64)  # the chunks' numbers follow their order
+        place[order] = np.arange(len(chunks))
+
+        ends_a, ends_b = np.cumsum(self.tok.size_a[a]), np.cumsum(self.tok.size_b[b])
+        last_a, last_b = common_ends(ends_a, stop_a, ends_b, stop_b)
+        first_a, first_b = np.r_[0, last_a[:-1] + 1][:len(last_a)], np.r_[0, last_b[:-1] + 1][:len(last_b)]
+        n_a, n_b = last_a + 1 - first_a, last_b + 1 - first_b
+        group_end = np.searchsorted(last_a, stop_a)  # every chunk ends in a common end
+        links = n_a * n_b
+
+        # What the chunks spell: group by group the first, then the second ids, the
+        # last of either and of the chunk marked.
+        total_a, total_b = len(self.tok.bytes_a), len(self.tok.bytes_b)
+        piece = np.empty(len(a) + len(b), dtype=np.int64)
+        mark_a, mark_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+        mark_a[last_a], mark_b[last_b] = total_a, total_b
+        mark_b[stop_b[whole] - 1] = 2 * total_b
+        piece[np.arange(len(a)) + np.repeat(first_b, n_a)] = a + mark_a
+        piece[np.arange(len(b)) + np.repeat(last_a + 1, n_b)] = 2 * total_a + b + mark_b
+        spelled = iter("".join(map(self.tok.pieces.__getitem__, piece.tolist())).split("\0"))
+        spelled = [next(spelled) if w else "" for w in whole.tolist()]
+
+        # Links: each first id with every second id of its group.
+        wide = links > WIDE
+        of = np.repeat(np.arange(len(links)), np.where(wide, 0, n_a))  # the group of each first token
+        at_a = _ranges(np.where(wide, 0, first_a), np.where(wide, 0, last_a + 1))
+        left = np.repeat(at_a, n_b[of])
+        right = _ranges(first_b[of], last_b[of] + 1)
+        pair, times, group = a[left] << 32 | b[right], np.ones(len(left), dtype=np.int64), np.repeat(of, n_b[of])
+        for g in np.flatnonzero(wide).tolist():
+            ids_a, m = np.unique(a[first_a[g]:last_a[g] + 1], return_counts=True)
+            ids_b, n = np.unique(b[first_b[g]:last_b[g] + 1], return_counts=True)
+            pair = np.r_[pair, (ids_a[:, None] << 32 | ids_b[None, :]).ravel()]
+            times = np.r_[times, (m[:, None] * n[None, :]).ravel()]
+            group = np.r_[group, np.full(len(ids_a) * len(ids_b), g)]
+        if wide.any():
+            by_group = np.argsort(group, kind="stable")
+            pair, times, group = pair[by_group], times[by_group], group[by_group]
+        link_end = np.searchsorted(group, group_end)
+        counts = np.stack([np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0), np.diff(group_end, prepend=0), _sums(links, group_end)], axis=1)
+
+        # Into the order in which the chunks are numbered.
+        start = np.r_[0, link_end[:-1]][place]
+        moved, end = _ranges(start, link_end[place]), len(self.link_pair) + np.cumsum(link_end[place] - start)
+        self.link_start, self.link_end = np.r_[self.link_start, len(self.link_pair), end[:-1]], np.r_[self.link_end, end]
+        self.link_pair, self.link_n = np.r_[self.link_pair, pair[moved]], np.r_[self.link_n, times[moved]]
+        self.counts = np.concatenate([self.counts, counts[place]])
+        self.whole = np.r_[self.whole, whole[place]]
+        self.spelled += [spelled[i] for i in place.tolist()]
 
     def chunks(self, texts: list[str | None]) -> list[np.ndarray]:
         """Chunk numbers of each text; none for a text without tokens."""
         if len(self.index) >= self.most:
             self.forget()
-        cut = _CUT.sub if self.tok.separable else None
-        split = [[] if not t else [" " + t] if not cut or "\0" in t else cut("\0 ", " " + t).split("\0") for t in texts]
-        split = [c[1:] if c and not c[0] else c for c in split]  # a cut before the first space
-        new = [c for c in dict.fromkeys(c for cs in split for c in cs) if c not in self.index]
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        if new:
-            self._learn(new)
-        number = self.index.__getitem__
+        known, number = len(self.index), self.index.__getitem__
+        split = [[] if not t else cut(" " + t) if self.tok.separable else [" " + t] for t in texts]
         out = [np.fromiter(map(number, c), dtype=np.int64, count=len(c)) for c in split]
+        if len(self.index) > known:
+            self._learn(list(itertools.islice(self.index, known, None)))
         return [c if self.whole[c].all() else c[:0] for c in out]
 
 
-def _ends(tokens: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for t in tokens:
-        at += len(t)
-        out.append(at)
-    return out
-
-
 def _ranges(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """All integers of the ranges, one range after another."""
     size = stops - starts
@@ -180,6 +289,18 @@ def _ranges(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]][:len(values)]]
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and each value's place among them."""
+    distinct = _distinct(values)
+    return distinct, np.searchsorted(distinct, values)
+
+
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of consecutive stretches of ``values`` that end at ``ends``."""
     total = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(values, dtype=np.int64)])[ends]
@@ -201,21 +322,22 @@ def slice_of(aligner: Aligner, texts: list[str | None], digests: bool) -> dict:
     flat = np.concatenate([np.zeros(0, dtype=np.int64), *order])
     end = np.cumsum([len(c) for c in order]).astype(np.int64)
     counts = np.stack([_sums(aligner.counts[flat, k], end) for k in range(4)], axis=1)
-    known, chunk = np.unique(flat, return_inverse=True)
-    start = np.r_[0, aligner.link_end][known]
+    known, chunk = _numbered(flat)
+    start = aligner.link_start[known]
     links = _ranges(start, aligner.link_end[known])
     link_end = np.cumsum(aligner.link_end[known] - start)
-    pair, link = np.unique(aligner.link_pair[links], return_inverse=True)
+    pair, link = _numbered(aligner.link_pair[links])
     # Documents of each pair: distinct (document, chunk), then distinct (document, pair).
-    held = np.unique(np.repeat(np.arange(len(texts)), np.diff(end, prepend=0)) * max(1, len(known)) + chunk)
-    doc, held = held // max(1, len(known)), held % max(1, len(known))
+    n, m = max(1, len(known)), max(1, len(pair))
+    held = _distinct(np.repeat(np.arange(len(texts)), np.diff(end, prepend=0)) * n + chunk)
+    doc, held = held // n, held % n
     first = np.r_[0, link_end][held]
-    both = np.unique(np.repeat(doc, link_end[held] - first) * max(1, len(pair)) + link[_ranges(first, link_end[held])])
-    spelled = [";".join([aligner.spelled[i] for i in c.tolist()]) for c in order]
+    both = _distinct(np.repeat(doc, link_end[held] - first) * m + link[_ranges(first, link_end[held])])
+    spelled = [";".join(map(aligner.spelled.__getitem__, c.tolist())) for c in order]
     if digests:
         spelled = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelled]
     return {"counts": counts.ravel(), "groups": spelled, "chunk": chunk, "chunk_end": end, "link": link, "link_n": aligner.link_n[links],
-            "link_end": link_end, "pair": pair, "pair_docs": np.bincount(both % max(1, len(pair)), minlength=len(pair))}
+            "link_end": link_end, "pair": pair, "pair_docs": np.bincount(both % m, minlength=len(pair))}
 
 
 def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_level: str = BYTE_LEVEL, pieces: str = PIECES,
