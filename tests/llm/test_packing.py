@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import EDGE, SF, docs_of, edge_docs, empty_docs
@@ -76,3 +77,17 @@ def test_edge_rows(spark):
     assert "ids" in out.columns
     check([tuple(r) for r in out.select(*cols).collect()], [(i, t or "") for i, t in EDGE], 64)
     assert K.pack_documents(empty_docs(spark)).count() == 0
+
+
+def test_equal_short_documents_fill_their_sequences(spark):
+    for text, tokens in (("", 1), ("a b c d", 5)):
+        rows = K.pack_documents(spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))).collect()
+        assert {r.doc_tokens for r in rows} == {tokens} and len(rows) == 20_000
+        assert 20_000 * tokens >= 0.98 * 1024 * max(r.sequence_id for r in rows)  # the last one is what is left
+
+
+def test_further_columns_keep_their_names(spark):
+    names = ["size", "rank", "lo", "hi", "slot", "sequence", "before", "each", "first", "piece"]
+    pieces = K.materialize(K.token_pieces(spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")), "pieces")
+    out = K.pack_pieces(K.materialize(pieces.withColumns({n: F.lit(n) for n in names}), "pieces"))
+    assert all(r[n] == n for r in out.collect() for n in names) and out.count() == 2

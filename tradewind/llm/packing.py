@@ -1,10 +1,11 @@
 """Packing by cutting-stock column generation.
 
 Every document's tokens (and an end token) are cut into whole sequences and a
-remainder. Only the histogram of piece lengths, in classes of ``GRAIN``
-tokens, reaches the driver: ``max_len / GRAIN`` counts, whatever the input. A
-linear program over patterns (multisets of classes that fit a sequence) covers
-the counts; a knapsack dynamic program prices new patterns until none helps.
+remainder. Only the histogram of piece lengths reaches the driver, in classes of
+one token up to ``FINE`` tokens and of ``GRAIN`` tokens beyond: at most
+``FINE + max_len / GRAIN`` counts, whatever the input. A linear program over
+patterns (multisets of classes that fit a sequence) covers the counts; a
+knapsack dynamic program prices new patterns, a few at a time, until none helps.
 Patterns are used a whole number of times, and what rounding leaves over is
 packed first-fit decreasing. Each pattern becomes ranges of ranks within its
 classes, and each piece, ranked within its class, finds its sequence by
@@ -26,7 +27,10 @@ from tradewind.llm.chunks import Chunks, cut
 from tradewind.llm.common import materialize, read, text_batches
 
 MAX_LEN = 1024
-GRAIN = 4      # tokens a length class spans
+FINE = 64      # lengths up to here are classes of their own
+GRAIN = 4      # tokens a longer class spans
+COLUMNS = 24   # patterns added by a pricing
+STALL = 20     # pricings without a gain that end the program
 GAP = 0.002   # stop when the program is this close to its bound
 END = 0        # id after each document
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,17 +88,22 @@ def _spelling(tok) -> dict[int, str] | None:
     return table if whole else None
 
 
+def size_class(n: int, max_len: int) -> int:
+    """The length that a piece of ``n`` tokens counts with."""
+    return n if n <= FINE else min(max_len, -(-n // GRAIN) * GRAIN)
+
+
 def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
                  max_len: int = MAX_LEN, keep_ids: bool = False) -> DataFrame:
     """Pieces of at most ``max_len`` ids: ``id``, ``start``, ``length``,
-    ``ids_crc32``, ``doc_tokens``, ``class``, and ``part``, ``idx`` (a number
-    within its class and task); with ``keep_ids`` also ``ids`` (binary).
+    ``ids_crc32``, ``doc_tokens``, ``class`` (the length that its class counts
+    with), and ``part``, ``idx`` (a number within its class and task); with ``keep_ids`` also ``ids`` (binary).
     A null text is empty and so is its end token alone."""
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
         part, encode = TaskContext.get().partitionId(), _encoder(tokenizer)
-        count = np.zeros(max_len // GRAIN + 2, dtype=np.int64)
+        count = np.zeros(max_len + 1, dtype=np.int64)
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "class", "part", "idx"] + ["ids"] * keep_ids
         kinds = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * keep_ids
         for whole in batches:
@@ -105,7 +114,7 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     n = len(ids) // 4
                     for at in range(0, n, max_len):
                         piece = ids[4 * at:4 * (at + max_len)]
-                        k = -(-(len(piece) // 4) // GRAIN)
+                        k = size_class(len(piece) // 4, max_len)
                         rows.append((rid, at, len(piece) // 4, zlib.crc32(piece), n, k, part, int(count[k])) + (piece,) * keep_ids)
                         count[k] += 1
                 cols = list(zip(*rows, strict=True)) or [()] * len(names)
@@ -116,53 +125,34 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                 + ", ids binary" * keep_ids)
 
 
-def _price(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most valuable pattern that fits ``room``."""
+def _price(value: np.ndarray, sizes: np.ndarray, room: int, most: int) -> tuple[float, list[np.ndarray]]:
+    """Unbounded knapsack: the value of the best pattern that fits ``room``, and
+    up to ``most`` patterns worth more than 1, best first: the best one around
+    each size."""
     best, last = np.zeros(room + 1), np.full(room + 1, -1)
+    fits = np.searchsorted(sizes, np.arange(room + 1), "right")
     for c in range(1, room + 1):
-        fits = int(np.searchsorted(sizes, c, "right"))
         best[c], last[c] = best[c - 1], -1
-        if fits:
-            v = value[:fits] + best[c - sizes[:fits]]
+        if fits[c]:
+            v = value[:fits[c]] + best[c - sizes[:fits[c]]]
             i = int(v.argmax())
             if v[i] > best[c]:
                 best[c], last[c] = v[i], i
-    pattern, c = np.zeros(len(sizes)), room
-    while c > 0:
-        if last[c] < 0:
-            c -= 1
-        else:
-            pattern[last[c]] += 1
-            c -= sizes[last[c]]
-    return float(best[room]), pattern
-
-
-def column_generation(sizes: np.ndarray, counts: np.ndarray, room: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (rows) and how often to use them: min sum(x), patterns' items
-    equal to ``counts``. Revised simplex from the patterns of one size each;
-    ``sizes`` ascend. Ends when no pattern improves or within ``gap`` of the
-    bound that the duals prove."""
-    m = len(sizes)
-    basis = np.diag((room // sizes).astype(float))
-    inverse = np.diag(1 / np.diag(basis))
-    x = counts / np.diag(basis)
-    bound = (sizes * counts).sum() / room
-    for _ in range(40 * m):
-        dual = inverse.sum(axis=0)
-        value, pattern = _price(dual, sizes, room)
-        bound = max(bound, x.sum() / max(value, 1.0))
-        if value <= 1 + 1e-9 or x.sum() <= bound * (1 + gap):
+    worth = value + best[room - sizes]
+    out = {}
+    for i in np.argsort(-worth, kind="stable")[:most]:
+        if worth[i] <= 1 + 1e-9:
             break
-        step = inverse @ pattern
-        ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
-        leave = int(ratio.argmin())
-        x = np.maximum(0, x - ratio[leave] * step)
-        x[leave] = ratio[leave]
-        row = inverse[leave] / step[leave]
-        inverse -= np.outer(step, row)
-        inverse[leave] = row
-        basis[leave] = pattern  # basic patterns are rows
-    return basis, x
+        pattern, c = np.zeros(len(sizes)), int(room - sizes[i])
+        pattern[i] = 1
+        while c > 0:
+            if last[c] < 0:
+                c -= 1
+            else:
+                pattern[last[c]] += 1
+                c -= sizes[last[c]]
+        out[pattern.tobytes()] = pattern
+    return float(best[room]), list(out.values())
 
 
 def _rest(sizes: np.ndarray, counts: np.ndarray, room: int) -> dict[tuple, int]:
@@ -186,6 +176,58 @@ def _rest(sizes: np.ndarray, counts: np.ndarray, room: int) -> dict[tuple, int]:
     return out
 
 
+def _sharper(inverse: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A step of Newton's method towards the inverse of the basis, whose patterns are rows."""
+    return 2 * inverse - np.einsum("ij,jk->ik", inverse, np.einsum("ji,jk->ik", basis, inverse))
+
+
+def column_generation(sizes: np.ndarray, counts: np.ndarray, room: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns (rows) and how often to use them: min sum(x), patterns' items
+    equal to ``counts``; ``sizes`` ascend. Revised simplex from the patterns of
+    one size each over a pool of patterns, at first those of first-fit
+    decreasing. When no pattern of the pool improves, pricing adds new ones. Ends
+    when there are none, within ``gap`` of the bound that the duals prove, or
+    when ``STALL`` pricings together gain less than a tenth of ``gap``."""
+    m, given = len(sizes), counts
+    counts = counts + 1e-5 * (1 + np.arange(m) * 0.6180339887 % 1)  # no two ratios tie, so no pivot cycles
+    basis = np.diag((room // sizes).astype(float))  # basic patterns are rows
+    inverse, x = np.diag(1 / np.diag(basis)), counts / np.diag(basis)
+    bound = (sizes * counts).sum() / room
+    pool = np.zeros((0, m))
+    new = [np.bincount([i for i, _ in p], weights=[k for _, k in p], minlength=m) for p in _rest(sizes, np.rint(counts).astype(np.int64), room)]
+    pivots, mark = 0, []
+    for _ in range(20 * m):  # pricings, far more than are needed
+        pool = np.concatenate([pool, *[p[None] for p in new]])
+        for _ in range(4 * m):
+            dual = inverse.sum(axis=0)
+            worth = pool @ dual
+            enter = int(worth.argmax()) if len(pool) else -1
+            if enter < 0 or worth[enter] <= 1 + 1e-7 or x.sum() <= bound * (1 + gap):
+                break
+            step = inverse @ pool[enter]
+            able = step > 1e-9
+            ratio = np.where(able, x / np.where(able, step, 1), np.inf)
+            leave = int(ratio.argmin())
+            basis[leave] = pool[enter]
+            pivots += 1
+            x = np.maximum(0, x - ratio[leave] * step)
+            x[leave] = ratio[leave]
+            row = inverse[leave] / step[leave]
+            inverse -= np.outer(step, row)
+            inverse[leave] = row
+            if pivots % 256 == 0:  # errors add up
+                inverse = _sharper(inverse, basis)
+                x = np.maximum(0, inverse @ counts)
+        mark.append(x.sum())
+        if x.sum() <= bound * (1 + gap) or len(mark) > STALL and mark[-1 - STALL] - mark[-1] < gap / 10 * bound:
+            break
+        value, new = _price(inverse.sum(axis=0), sizes, room, COLUMNS)
+        bound = max(bound, x.sum() / max(value, 1.0))
+        if not new or x.sum() <= bound * (1 + gap):
+            break
+    return basis, np.maximum(0, _sharper(inverse, basis) @ given)
+
+
 def plan(histogram: dict[int, int], room: int, gap: float = GAP) -> list[tuple[int, int, int, int, int, int]]:
     """Ranges ``(class, lo, hi, sequence, each, slot)``: the pieces of a class
     ranked lo..hi-1 fill ``each`` slots from ``slot`` on in one sequence after
@@ -221,27 +263,29 @@ def plan(histogram: dict[int, int], room: int, gap: float = GAP) -> list[tuple[i
 
 def pack_pieces(pieces: DataFrame, max_len: int = MAX_LEN, gap: float = GAP) -> DataFrame:
     """``pieces`` (columns ``length``, ``class``, ``part``, ``idx`` and any
-    more) with ``sequence_id`` and ``offset`` (gapless from 0). The input must
+    more, whatever their names) with ``sequence_id`` and ``offset`` (gapless from 0). The input must
     be a written table, so that numbers within a task stay as they are. No
     pieces give no rows."""
     spark = pieces.sparkSession
     by_part = pieces.groupBy("class", "part").agg(F.count("*").alias("n"))
     histogram = {r["class"]: r["n"] for r in by_part.groupBy("class").agg(F.sum("n").alias("n")).collect()}
-    ranges = spark.createDataFrame(plan(histogram, max_len // GRAIN, gap),
-                                   "class int, lo long, hi long, sequence long, each long, slot long")
+    ranges = spark.createDataFrame(plan(histogram, max_len, gap), "size int, lo long, hi long, sequence long, each long, first long")
     before = W.partitionBy("class").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = by_part.select("class", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = pieces.join(offsets, ["class", "part"]).withColumn("rank", F.col("idx") + F.col("before"))
+    # The given columns travel as one, whatever their names.
+    own = [c for c in pieces.columns if c not in ("class", "part", "idx")]
+    ranked = (pieces.select("class", "part", "idx", "length", F.struct(*own).alias("piece")).join(offsets, ["class", "part"])
+              .withColumn("rank", F.col("idx") + F.col("before")))
     # A broadcast of a few entries per basic pattern and left-over bin: bounded
     # by the number of length classes, not by the input.
-    r = F.broadcast(ranges.withColumnRenamed("class", "size"))
-    placed = ranked.join(r, (ranked["class"] == r["size"]) & (ranked["rank"] >= r["lo"]) & (ranked["rank"] < r["hi"]))
+    r = F.broadcast(ranges)
+    placed = ranked.join(r, (F.col("class") == F.col("size")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
     nth = F.col("rank") - F.col("lo")
-    placed = (placed.withColumn("sequence_id", F.col("sequence") + F.floor(nth / F.col("each")))
-              .withColumn("slot", F.col("slot") + nth % F.col("each")))
+    placed = placed.select("piece", "length", (F.col("sequence") + F.floor(nth / F.col("each"))).alias("sequence_id"),
+                           (F.col("first") + nth % F.col("each")).alias("slot"))
     earlier = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    return (placed.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
-            .drop("class", "part", "idx", "before", "rank", "size", "lo", "hi", "sequence", "each", "slot"))
+    return placed.select("piece", "sequence_id", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset")).select(
+        "piece.*", "sequence_id", "offset")
 
 
 def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
