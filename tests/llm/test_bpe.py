@@ -36,7 +36,7 @@ def test_long_words_by_either_query():
         words = ["".join(rng.choice("abetinsr") for _ in range(n)) for _ in range(12)] + ["a" * n, "the" * n]
         raw = [w.encode() for w in words]
         want = [TIKTOKEN._encode_single_piece(r) for r in raw]
-        assert [x.tolist() for x in b._run(B.ENCODE_LONG, raw)] == want
+        assert [x.tolist() for x in b._run(B.ENCODE_LONG, raw, raw)] == want
         assert [x.tolist() for x in b.encode_words(words)] == want
     assert b.encode_words(["a" * 50_000])[0].tolist() == TIKTOKEN._encode_single_piece(b"a" * 50_000)
 
@@ -69,3 +69,16 @@ def test_edge_rows(spark):
     want = [(i, TIKTOKEN.encode_ordinary(t or ""), (t or "").encode()) for i, t in EDGE]
     assert sorted(((r.id, r.ids, bytes(r.decoded)) for r in rows), key=key) == sorted(want, key=key)
     assert B.encode_decode(empty_docs(spark)).count() == 0
+
+
+def test_long_random_words_are_quick():
+    import time
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)), "".join(rng.choices("ACGT", k=3000)),
+             "".join(rng.choices("0123456789abcdef", k=5000)), "-" * 200, "é" * 500, "\U0001f642" * 300]
+    bpe = B.Bpe()
+    enc = tiktoken.Encoding("own", pat_str=B.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    start = time.time()
+    got = bpe.encode(words[:1])
+    assert time.time() - start < 10 and got[0].tolist() == enc.encode_ordinary(words[0])
+    assert [x.tolist() for x in bpe.encode(words)] == [enc.encode_ordinary(w) for w in words]

@@ -101,6 +101,11 @@ class Bpe:
         with open(ranks_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
+        #: Byte pairs that stand inside some token; nothing joins any other two.
+        self.joined = np.zeros((256, 256), dtype=bool)
+        for t in self.ranks:
+            at = np.frombuffer(t, dtype=np.uint8)
+            self.joined[at[:-1], at[1:]] = True
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         a, b, rank = (np.array(c, dtype=np.int32) for c in merge_table(self.ranks))
@@ -140,23 +145,39 @@ class Bpe:
         like = text.translate({ord(c): self.stand_in[ord(c)] for c in odd})
         return [text[m.start():m.end()] for m in self.pattern.finditer(like)]
 
+    def parts(self, raw: bytes) -> list[bytes]:
+        """A long word cut where no token holds the bytes on both sides."""
+        at = np.frombuffer(raw, dtype=np.uint8)
+        cuts = [0, *(np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1).tolist(), len(raw)]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word, by the recursive queries."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        cut = {r: p for r in raw if len(r) >= LONG and len(p := self.parts(r)) > 1}
+        whole = [r for r in dict.fromkeys(raw) if r not in cut]
+        part = sorted({p for ps in cut.values() for p in ps})
+        # A word that is a token as it stands is that token; a part must be joined to become one.
+        known = dict(zip(whole, self._encode(whole, whole), strict=True))
+        joined = dict(zip(part, self._encode(part, [None] * len(part)), strict=True))
+        return [known[r] if r in known else np.concatenate([joined[p] for p in cut[r]]) for r in raw]
+
+    def _encode(self, raw: list[bytes], tokens: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of ``raw``, whose whole token, if there is one, is in ``tokens``."""
         out: list = [None] * len(raw)
         for query, size in ((ENCODE, lambda n: n < LONG), (ENCODE_LONG, lambda n: n >= LONG)):
             at = [i for i, r in enumerate(raw) if size(len(r))]
-            for i, ids in zip(at, self._run(query, [raw[i] for i in at]), strict=True):
+            for i, ids in zip(at, self._run(query, [raw[i] for i in at], [tokens[i] for i in at]), strict=True):
                 out[i] = ids
         return out
 
-    def _run(self, query: str, raw: list[bytes]) -> list[np.ndarray]:
+    def _run(self, query: str, raw: list[bytes], tokens: list[bytes | None]) -> list[np.ndarray]:
         import pyarrow as pa
         if not raw:
             return []
         flat = self.of_byte[np.frombuffer(b"".join(raw), dtype=np.uint8)]
         ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(r) for r in raw]), pa.int32()), pa.array(flat))
-        self.con.register("words", pa.table({"word": pa.array(np.arange(len(raw)), pa.int32()), "raw": pa.array(raw, pa.binary()), "ids": ids}))
+        self.con.register("words", pa.table({"word": pa.array(np.arange(len(raw)), pa.int32()), "raw": pa.array(tokens, pa.binary()), "ids": ids}))
         got = self.con.sql(query).to_arrow_table().column("ids").combine_chunks()
         self.con.unregister("words")
         flat, ends = got.flatten().to_numpy().astype(np.int32), np.diff(got.offsets.to_numpy()).cumsum().tolist()
