@@ -6,9 +6,10 @@ is one sorted list per component, read from the top for queries whose component
 is positive and from the bottom where it is negative. After reading all lists
 to a depth, a candidate's score lies between bounds: the components read, plus
 the list's frontier (upper) or its far end (lower) for those not yet read. A
-candidate whose upper bound is below a query's k-th lower bound cannot qualify;
-reading goes on for the others, and when the schedule of depths ends, their
-final scores are resolved. Equal scores go to the smaller id.
+pair whose upper bound is below its query's k-th lower bound cannot qualify. The
+lists are read on, each time half of what is left, until no more than
+``RESOLVE`` of the block's pairs are open; only these pairs' scores are then
+resolved, one by one. Equal scores go to the smaller id.
 """
 from __future__ import annotations
 
@@ -21,20 +22,27 @@ from tradewind.llm.common import materialize, read, shuffle_partitions
 
 K = 20
 SCALE = 64
-QUERIES = 2048            # in a block of queries
-CANDIDATES = 4096         # in a block of candidates
-DEPTHS = (1 / 4, 1 / 2)   # of the lists, before scores are resolved
+ASKED = 16_384     # queries that a candidate is sent to at a time
+QUERIES = 2048     # of them that are bounded together
+CANDIDATES = 4096  # in a block of candidates
+RESOLVE = 1 / 20   # share of open pairs at which reading stops
+PAIRS = 50_000     # resolved at a time
+LARGEST = 1 << 26  # of a component times the scale; 1024 products of two then fit 64 bits
 
 
 def quantized(df: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """``rid`` (names the row), ``id``, ``v`` array<long>: floor(scale * x) of
     every component; rows with a null id, a null vector, or a null or
-    non-finite component are left out. Shorter vectors count as padded with 0."""
+    non-finite component are left out. Shorter vectors count as padded with 0. A
+    component of ``LARGEST`` or more after scaling is an error."""
+    def whole(c):
+        return F.when(F.abs(c * scale) < LARGEST, F.floor(c * scale).cast("long")).otherwise(F.raise_error(F.lit("a vector's component is too large")))
+
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     rows = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine)
     rows = rows.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("id"), x.alias("x"))
-    return rows.select("rid", "id", F.transform("x", lambda c: F.floor(c * scale).cast("long")).alias("v"))
+    return rows.select("rid", "id", F.transform("x", whole).alias("v"))
 
 
 class NoRandomAccess:
@@ -44,6 +52,7 @@ class NoRandomAccess:
         self.rids, self.ids, self.q, self.k = np.asarray(rids), np.asarray(ids), vectors, k
         self.best = np.zeros((0, 4), dtype=np.int64)  # query, score, id, rid
         self.floor = np.full(len(vectors), -np.inf)   # k-th score so far
+        self.seen = self.resolved = 0                 # pairs, and those whose score was resolved
 
     def _raise(self, queries: np.ndarray, known: np.ndarray) -> None:
         """Raise the queries' floors to the k-th of scores known at least."""
@@ -57,27 +66,28 @@ class NoRandomAccess:
         up, down = np.maximum(q, 0), np.minimum(q, 0)
         low, high = c.min(axis=0), c.max(axis=0)
         lists = np.sort(c, axis=0)
-        queries, rows = np.arange(len(q)), np.arange(len(c))
-        for depth in DEPTHS:
-            at = max(1, int(depth * len(c)))
-            if at >= len(c) or not len(queries):
-                break
+        open_ = self.rids[:, None] != rids[None, :]
+        self.seen += open_.size
+        left = 1.0  # of the lists
+        while open_.sum() > RESOLVE * open_.size and left * len(c) >= 1:
+            left *= 3 / 4 if left == 1 else 1 / 2
+            at = max(1, int((1 - left) * len(c)))
             top, bottom = lists[len(c) - at], lists[at - 1]  # frontiers of the lists from either end
-            part = c[rows]
+            queries, rows = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            part, here = c[rows], open_[np.ix_(queries, rows)]
             if len(rows) > self.k:
                 lower = up[queries] @ np.where(part >= top, part, low).T + down[queries] @ np.where(part <= bottom, part, high).T
-                self._raise(queries, np.where(self.rids[queries][:, None] == rids[rows], -np.inf, lower))
+                self._raise(queries, np.where(here, lower, -np.inf))
             upper = up[queries] @ np.maximum(part, top).T + down[queries] @ np.minimum(part, bottom).T
-            open_ = upper >= self.floor[queries][:, None]
-            queries, rows = queries[open_.any(axis=1)], rows[open_.any(axis=0)]
-        if not len(queries) or not len(rows):
+            open_[np.ix_(queries, rows)] = here & (upper >= self.floor[queries][:, None])
+        s, r = np.nonzero(open_)
+        if not len(s):
             return
-        score = q[queries] @ c[rows].T
-        own = self.rids[queries][:, None] == rids[rows]
-        if len(rows) > self.k:
-            self._raise(queries, np.where(own, -np.inf, score))
-        s, r = np.nonzero((score >= self.floor[queries][:, None]) & ~own)
-        new = np.stack([queries[s], score[s, r].astype(np.int64), ids[rows[r]], rids[rows[r]]], axis=1)
+        self.resolved += len(s)
+        score = np.concatenate([np.einsum("ij,ij->i", q[s[a:a + PAIRS]], c[r[a:a + PAIRS]]) for a in range(0, len(s), PAIRS)])
+        good = score >= self.floor[s]
+        s, r, score = s[good], r[good], score[good]
+        new = np.stack([s, score.astype(np.int64), ids[r], rids[r]], axis=1)
         every = np.concatenate([self.best, new])
         every = every[np.lexsort((every[:, 3], every[:, 2], -every[:, 1], every[:, 0]))]
         first = np.searchsorted(every[:, 0], np.arange(len(self.q) + 1))
@@ -96,7 +106,7 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "em
     spark = df.sparkSession
     rows = materialize(quantized(df, id_col, vector_col, scale), "vectors")
     sizes = rows.agg(F.max(F.size("v")).alias("d"), F.count(F.when(is_query, 1)).alias("q"), F.count("*").alias("n")).first()
-    width, blocks = sizes["d"] or 0, max(1, -(-sizes["q"] // QUERIES))
+    width, blocks = sizes["d"] or 0, max(1, -(-sizes["q"] // ASKED))
     cells = max(1, min(2 * shuffle_partitions(spark), -(-sizes["n"] // CANDIDATES)))  # each a block or more
     deal = F.pmod(F.xxhash64("rid"), F.lit(blocks))
     asked = rows.where(is_query).select("rid", "id", "v", F.lit(0).alias("kind"), deal.cast("int").alias("block"),
@@ -108,21 +118,24 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "em
 
     def run(batches):
         import pyarrow as pa
-        key, search, held, asking = None, None, [], []
+        key, searches, held, asking = None, [], [], []
 
         def stack(parts):
             cols = [np.concatenate([p[i] for p in parts]) for i in range(3)]
             parts.clear()
             return cols
 
+        def look(rids, ids, vectors):
+            for search in searches:
+                search.add(rids, ids, vectors)
+
         def result():
-            if search is None:  # queries without a candidate
-                return
-            if held:
-                search.add(*stack(held))
-            b = search.best
-            yield pa.RecordBatch.from_arrays([pa.array(search.rids[b[:, 0]]), pa.array(search.ids[b[:, 0]]), pa.array(b[:, 2].copy()), pa.array(b[:, 1].copy()), pa.array(b[:, 3].copy())],
-                                             names=["query", "query_id", "vec_id", "score", "rid"])
+            if searches and held:
+                look(*stack(held))
+            for search in searches:
+                b = search.best
+                yield pa.RecordBatch.from_arrays([pa.array(search.rids[b[:, 0]]), pa.array(search.ids[b[:, 0]]), *[pa.array(b[:, i].copy()) for i in (2, 1, 3)]],
+                                                 names=["query", "query_id", "vec_id", "score", "rid"])
 
         for b in batches:
             if not b.num_rows:
@@ -139,20 +152,21 @@ def top_k(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "em
             for lo, hi in zip(np.r_[0, change].tolist(), np.r_[change, b.num_rows].tolist(), strict=True):
                 if key != (cols[0][lo], cols[1][lo]):
                     yield from result()
-                    key, search = (cols[0][lo], cols[1][lo]), None
-                    held, asking = [], []
+                    key = (cols[0][lo], cols[1][lo])
+                    searches, held, asking = [], [], []
                 part = (cols[3][lo:hi], cols[4][lo:hi], v[lo:hi])
                 if cols[2][lo] == 0:
                     asking.append(part)
                     continue
                 if asking:
-                    search = NoRandomAccess(*stack(asking), k)
-                if search is not None:
+                    every = stack(asking)
+                    searches = [NoRandomAccess(*[x[a:a + QUERIES] for x in every], k) for a in range(0, len(every[0]), QUERIES)]
+                if searches:  # else candidates without a query
                     held.append(part)
                     while sum(len(p[0]) for p in held) >= CANDIDATES:
                         every = stack(held)
-                        search.add(*[c[:CANDIDATES] for c in every])
-                        held.append(tuple(c[CANDIDATES:] for c in every))
+                        look(*[x[:CANDIDATES] for x in every])
+                        held.append(tuple(x[CANDIDATES:] for x in every))
         yield from result()
 
     near = both.mapInArrow(run, "query long, query_id long, vec_id long, score long, rid long")
