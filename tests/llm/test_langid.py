@@ -66,7 +66,7 @@ def test_language_of_long_documents_only_is_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
     assert all(len(t) > L.SAMPLE_CHARS for _, lang, t in rows if lang == "bb")
     order = F.xxhash64("doc_id")
-    sample = L.sample_rows(docs, "lang", "text", order, 100)
+    sample = L.lowest([r.asDict() for r in L.sample_rows(docs, "lang", "text", order, 100).collect()], 100)
     texts = {lang: [t for _, x, t in rows if x == lang] for lang in ("aa", "bb")}
     assert sorted(t for lang, t in sample if lang == "aa") == sorted(texts["aa"])
     windows = [t for lang, t in sample if lang == "bb"]
@@ -74,3 +74,16 @@ def test_language_of_long_documents_only_is_learned(spark):
     assert any(not x.startswith(t) for t in windows for x in texts["bb"] if t in x)
     out = L.identify(docs, L.fit_languages(docs)).collect()
     assert {r.id: r.lang_pred for r in out} == {k: lang for k, lang, _ in rows}
+
+
+def test_labels_beyond_the_most_frequent_are_not_learned(spark):
+    rows = [(k, f"l{k}", "x y") for k in range(40)] + [(100 + k, "aa", "x y") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").withColumn("label", F.lit("clash"))
+    got = L.sample_rows(docs, "lang", "text", F.xxhash64("doc_id"), 10, most_labels=3).collect()
+    assert {r.label for r in got} == {"aa", "l0", "l1"} and len(got) == 7
+
+
+def test_quotes_and_dashes_end_words():
+    words = L.crf.Words(["“idiot” — l’état\u00a0²x", "idiot"])
+    assert L.crf.fold("“Idiot”") == " idiot " and words.n == 5
+    assert words.hash[0] == words.hash[-1]

@@ -45,6 +45,21 @@ def text_batches(batch, columns, max_chars: int = 4_000_000):
         yield batch.slice(start)
 
 
+def in_one_task(rows: DataFrame, fit):
+    """``fit(list of dicts)`` over ``rows``, a sample of bounded size, in one
+    task: the rows and the work stay off the driver, which gets the result."""
+    def run(batches):
+        import pickle
+
+        import pyarrow as pa
+        got = fit([r for b in batches for r in b.to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(got)], pa.binary())], names=["result"])
+
+    import pickle
+    done = rows.repartition(1).mapInArrow(run, "result binary").collect()
+    return pickle.loads(done[0][0]) if done else fit([])
+
+
 def crc32_mod(id_col: str, k: int):
     """crc32 of an id's decimal text, modulo ``k``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % k

@@ -11,6 +11,7 @@ side. Text starts reset the state, so texts do not influence each other.
 """
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,20 +19,27 @@ import numpy as np
 from tradewind.llm.byte_spans import ByteSpans, mix
 
 BUCKETS = 1 << 17  # rows of the hashed weight table
+_MARK = re.compile(r"(?![\x00-\x7f])[\W\d]")
 AFFIX = 4
 GRAM = 3
 STRIP = 96
 
-#: Bytes of words: letters of ASCII, and every byte of other code points.
+#: Bytes of words: letters of ASCII, and every byte of other code points, of
+#: which ``fold`` leaves only letters.
 LETTER = np.zeros(256, dtype=bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
 def fold(text: str | None) -> str:
-    """Lower case, kept to the same number of code points."""
+    """Lower case, and blanks for quotes, dashes and other marks beyond ASCII,
+    kept to the same number of code points. Its words are the runs of letters by
+    Unicode class, in training as in scoring."""
     text = text or ""
+    if text.isascii():
+        return text.lower()
     low = text.lower()
-    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    low = low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    return _MARK.sub(" ", low)
 
 
 def _bucket(h: np.ndarray, kind: int) -> np.ndarray:

@@ -1,8 +1,9 @@
 """Language identification with a linear-chain conditional random field.
 
-Training reads a bounded sample of labelled rows: about ``SAMPLE`` documents a
-language (by a hash of the id), whatever their length; of a longer one, a
-window of ``SAMPLE_CHARS`` characters. Runs of their words are strung into
+Training reads a bounded sample of labelled rows, in one task: about ``SAMPLE``
+documents of each of the ``LANGUAGES`` most frequent languages (by a hash of the
+id), whatever their length; of a longer one, a window of ``SAMPLE_CHARS``
+characters. Runs of their words are strung into
 code-switched texts, each word labelled with its document's language, so the
 learned transitions know both staying and switching. Every word of every whole
 text is then labelled by forward-backward; a document's language is the label
@@ -17,21 +18,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import crf
-from tradewind.llm.common import carried, crc32_mod, read, text_batches
+from tradewind.llm.common import carried, crc32_mod, in_one_task, read, text_batches
 
 SAMPLE = 400          # documents a language
-SAMPLE_CHARS = 20_000  # of one sampled document: a longer one's window
+SAMPLE_CHARS = 4_000  # of one sampled document: a longer one's window
+LANGUAGES = 64        # learned: those with most rows
 RUNS = 6              # runs of words taken from each sampled document
 SHORTEST, LONGEST = 5, 40  # words in a run
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def has_letter(text: str) -> bool:
     return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
-def window(text_col: str, order, chars: int = SAMPLE_CHARS):
+def window(text_col: str, order, chars: int):
     """A text of at most ``chars`` characters as it is; of a longer one a
     window of so many, at a place drawn from the hash ``order``."""
     text, size = F.col(text_col), F.length(text_col)
@@ -39,23 +42,25 @@ def window(text_col: str, order, chars: int = SAMPLE_CHARS):
     return F.when(size <= chars, text).otherwise(F.substr(text, at.cast("int"), F.lit(chars)))
 
 
-def sample_rows(df: DataFrame, label_col: str, text_col: str, order, per_label: int, chars: int = SAMPLE_CHARS) -> list:
-    """About ``per_label`` rows of each label, picked by the hash ``order``
-    (a column): counts first, then one filtering pass. At most ``2 *
-    per_label`` rows a label are kept, lowest hashes first; of each text its
-    ``window``."""
-    rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r["n"] for r in rows.groupBy(label_col).agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return []
-    share = F.lit(0.0)
-    for label, n in counts.items():
-        share = F.when(F.col(label_col) == label, F.lit(min(1.0, 1.3 * per_label / n))).otherwise(share)
-    unit = (F.pmod(order, F.lit(1 << 30)) / float(1 << 30))
-    picked = rows.where(unit < share).select(F.col(label_col).alias("label"), window(text_col, order, chars).alias("text"), order.alias("o"))
-    picked = picked.orderBy("o").limit(2 * per_label * len(counts)).collect()
+def sample_rows(df: DataFrame, label_col: str, text_col: str, order, per_label: int, chars: int = SAMPLE_CHARS,
+                most_labels: int = LANGUAGES) -> DataFrame:
+    """``label``, ``text``, ``o``: about ``1.3 * per_label`` rows of each of the
+    ``most_labels`` most frequent labels, ``2 * per_label`` a label at most over
+    all, picked by the hash ``order`` (a column); of each text its ``window``.
+    Counts first, then one filtering pass that knows each label's share."""
+    rows = df.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), order.alias("o")).where("label is not null and text is not null")
+    counts = rows.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(most_labels)
+    share = counts.select(F.col("label").alias("of"), F.least(F.lit(1.0), F.lit(1.3 * per_label) / F.col("n")).alias("share"))
+    unit = F.pmod("o", F.lit(1 << 30)) / float(1 << 30)
+    picked = rows.join(F.broadcast(share), F.col("label") == F.col("of")).where(unit < F.col("share"))  # most_labels rows
+    text = window("text", F.col("o"), chars)
+    return picked.select("label", text.alias("text"), "o").orderBy("o", "label", "text").limit(2 * per_label * most_labels)
+
+
+def lowest(rows: list[dict], per_label: int) -> list[tuple[str, str]]:
+    """The ``per_label`` rows of each label with the lowest hashes, as (label, text)."""
     kept: dict = {}
-    for r in sorted(picked, key=lambda r: (r["o"], r["text"])):
+    for r in sorted(rows, key=lambda r: (r["o"], r["text"])):
         of = kept.setdefault(r["label"], [])
         if len(of) < per_label:
             of.append(r["text"])
@@ -68,7 +73,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> crf.Model | None:
     labels = sorted({label for label, _ in rows})
     runs = []
     for label, text in rows:
-        words = [w for w in re.split(r"[\W\d_]+", text) if w]
+        words = _WORD.findall(crf.fold(text))
         for _ in range(min(RUNS, -(-len(words) // SHORTEST))):
             size = int(rng.integers(SHORTEST, LONGEST + 1))
             at = int(rng.integers(0, max(1, len(words) - size + 1)))
@@ -132,7 +137,8 @@ def fit_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """A model from rows of ``df`` that may be learned from: a language, and
     an id whose crc32 mod 4 is not 2."""
     known = df.where(F.coalesce(crc32_mod(id_col, 4) != 2, F.lit(False)))
-    return train(sample_rows(known, lang_col, text_col, F.xxhash64(F.col(id_col), F.lit("lang")), per_label))
+    rows = sample_rows(known, lang_col, text_col, F.xxhash64(F.col(id_col), F.lit("lang")), per_label)
+    return in_one_task(rows, lambda got: train(lowest(got, per_label)))
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

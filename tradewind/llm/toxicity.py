@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import crf
-from tradewind.llm.common import carried, crc32_mod, read, text_batches
+from tradewind.llm.common import carried, crc32_mod, in_one_task, read, text_batches
 from tradewind.llm.langid import window
 
 SAMPLE = 1200   # documents a class
+SAMPLE_CHARS = 20_000  # of one sampled document: a longer one's window
+SLICE = 500_000  # characters scored at a time in training
 RATIO = 20      # times as frequent in toxic documents
 LEAST = 3       # toxic documents with the form
 SPAN = 30       # words of context kept around an offending word in training
@@ -81,9 +83,16 @@ def train(rows: list[tuple[int, str]], seed: int = 11) -> ToxicModel | None:
     w = crf.Words(texts)
     field = crf.fit(w, np.array(gold), ["clean", "toxic"])
     seen = []
-    for at in range(0, len(rows), 200):
-        part = crf.Words([t for _, t in rows[at:at + 200]])
+    del w
+    at = 0
+    while at < len(rows):
+        to, size = at + 1, len(rows[at][1])
+        while to < len(rows) and size + len(rows[to][1]) <= SLICE:
+            size += len(rows[to][1])
+            to += 1
+        part = crf.Words([t for _, t in rows[at:to]])
         seen.append(_evidence(part, field.marginals(part)[:, 1]))
+        at = to
     return ToxicModel(field, _logistic(np.concatenate(seen), np.array([label for label, _ in rows])))
 
 
@@ -157,17 +166,18 @@ def score(df: DataFrame, model: ToxicModel | None, id_col: str = "doc_id", text_
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  per_class: int = SAMPLE) -> ToxicModel | None:
-    """A model from labelled ids whose crc32 mod 3 is not 1. The sample of ids
-    is taken from the narrow label table: at most ``2 * per_class`` rows."""
-    known = labels.where(F.col("toxic").isin(0, 1) & F.coalesce(crc32_mod("doc_id", 3) != 1, F.lit(False)))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("lid")).agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64(F.col("lid"), F.lit("toxic"))
-    picks = [known.where(F.col("toxic") == k).orderBy(order, "lid").limit(per_class) for k in (0, 1)]
-    ids = df.sparkSession.createDataFrame([(r["lid"], r["toxic"]) for p in picks for r in p.collect()], "lid long, toxic int")
-    texts = df.where(F.col(text_col).isNotNull())
-    rows = (texts.join(F.broadcast(ids), F.col(id_col) == F.col("lid"))  # 2 * per_class rows
-            .select("toxic", window(text_col, order).alias("text"), order.alias("o")).limit(4 * per_class).collect())
-    return train([(r["toxic"], r["text"]) for r in sorted(rows, key=lambda r: (r["o"], r["text"]))])
+    """A model from labelled ids whose crc32 mod 3 is not 1, learned in one
+    task. The sample of ids is taken from the narrow label table: at most ``2 *
+    per_class`` rows; if sampled ids repeat, the ``4 * per_class`` texts with the
+    lowest hashes, ties by text."""
+    known = labels.select(F.col("doc_id").cast("long").alias("lid"), "toxic").where("toxic in (0, 1)")
+    known = known.where(F.coalesce(crc32_mod("lid", 3) != 1, F.lit(False))).groupBy("lid").agg(F.max("toxic").alias("toxic"))
+    known = known.withColumn("o", F.xxhash64("lid", F.lit("toxic")))
+    picks = [known.where(F.col("toxic") == k).orderBy("o", "lid").limit(per_class) for k in (0, 1)]
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    rows = texts.join(F.broadcast(picks[0].unionByName(picks[1])), F.col("id") == F.col("lid"))  # 2 * per_class rows
+    rows = rows.select("toxic", window("text", F.col("o"), SAMPLE_CHARS).alias("text"), "o").orderBy("o", "text").limit(4 * per_class)
+    return in_one_task(rows, lambda got: train([(r["toxic"], r["text"]) for r in sorted(got, key=lambda r: (r["o"], r["text"]))]))
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
