@@ -32,8 +32,8 @@ from tradewind.llm.common import materialize, read, text_batches
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
-SLICE = 4_000_000  # bytes of text a row stands for
-KNOWN = 250_000    # chunks a worker remembers
+SLICE = 1_000_000  # bytes of text a row stands for
+KNOWN = 100_000    # chunks a worker remembers
 WIDE = 1024        # links of a group that are listed one by one; of a wider group, id pairs with their number
 
 #: A single space before a visible character of which all engines agree that it
@@ -381,6 +381,7 @@ def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_le
 
     def total(batches):
         import pyarrow as pa
+        _aligner.cache_clear()  # a worker that has encoded keeps no chunks now
         for whole in batches:
             for k in range(whole.num_rows):
                 row = {c: whole.column(c).slice(k, 1).flatten() for c in whole.schema.names if c != "slice"}
