@@ -6,6 +6,8 @@ narrow projection. Delivery to Kafka is ``sinks.kafka.write_kafka``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,18 +23,19 @@ JSON_WRITE_OPTIONS = {
 
 
 def encode_messages(df: DataFrame, key_col: str | None = None,
-                    stamp_col: str | None = None) -> DataFrame:
-    """Rows -> (key string, value JSON string).
+                    stamp_col: str | None = None, beside: Sequence[str] = ()) -> DataFrame:
+    """Rows -> (key string, value JSON string, and the columns ``beside``, which
+    are not part of the JSON).
 
     ``key_col`` gives the key as a string ("unknown" when missing); without
     it the key is null. ``stamp_col`` adds an ISO ingest stamp to the JSON.
     ``to_json`` leaves null fields out; decoding restores them as null.
     """
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in beside]
     if stamp_col:
         cols.append(ingest_stamp().alias(stamp_col))
     key = message_key(key_col) if key_col else F.lit(None).cast("string")
-    return df.select(key.alias("key"), F.to_json(F.struct(*cols), JSON_WRITE_OPTIONS).alias("value"))
+    return df.select(key.alias("key"), F.to_json(F.struct(*cols), JSON_WRITE_OPTIONS).alias("value"), *beside)
 
 
 def encode_transactions(df: DataFrame, key_col: str = "from_bank",

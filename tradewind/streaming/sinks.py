@@ -85,6 +85,15 @@ def _start(writer, df: DataFrame, state_partitions: int | None) -> StreamingQuer
         return writer.start()
 
 
+def start_foreach(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "append",
+                  trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """Run a streaming frame into any ``foreachBatch`` function."""
+    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(write)
+    if trigger:
+        w = w.trigger(**trigger)
+    return _start(w, df, state_partitions)
+
+
 def start_batch_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                      partition_by: Sequence[str] = (), trigger: dict | None = None,
                      on_batch: Callable[[int, int], None] | None = None,
