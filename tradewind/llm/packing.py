@@ -13,6 +13,7 @@ arithmetic. Token ids never move.
 """
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from functools import cache
@@ -47,19 +48,21 @@ def _encoder(path: str):
     def alone(texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.int32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    # A space and letters are one match of the byte-level pattern, so the
-    # tokenizer's own model takes them as they are, spelled in its alphabet.
-    spelling = _spelling(tok)
-    model = tok.model
+    # A space and letters are one match of the byte-level pattern, so such chunks
+    # are encoded as one text, by the same vocabulary as ranks.
+    by_rank, sizes = _by_rank(path, tok)
 
     def encode(chunks: list[str]) -> list[np.ndarray]:
         out = [None] * len(chunks)
-        rest = []
-        for i, c in enumerate(chunks):
-            if spelling and c[c[:1] == " ":].isalpha():
-                out[i] = [t.id for t in model.tokenize(c.encode().decode("latin-1").translate(spelling))]
-            else:
-                rest.append(i)
+        words = [i for i, c in enumerate(chunks) if c[:1] == " " and c[1:].isalpha()] if by_rank else []
+        if words:
+            text = "".join([chunks[i] for i in words])
+            ids = np.array(by_rank(text), dtype=np.int32)
+            ends = np.cumsum([len(chunks[i]) if text.isascii() else len(chunks[i].encode()) for i in words])
+            stops = np.searchsorted(np.cumsum(sizes[ids]), ends, "right").tolist()
+            for i, a, b in zip(words, [0, *stops], stops, strict=False):
+                out[i] = ids[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(rest, alone([chunks[i] for i in rest]), strict=True):
             out[i] = ids
         return out
@@ -75,17 +78,24 @@ def _encoder(path: str):
     return ids
 
 
-def _spelling(tok) -> dict[int, str] | None:
-    """The alphabet in which a byte-level tokenizer spells bytes: printable
-    Latin-1 as itself, the others in order from U+0100. None unless the
-    tokenizer is byte-level, with its pattern and nothing before it."""
-    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    moved = [b for b in range(256) if b not in set(kept)]
-    table = {b: chr(b) for b in kept} | {b: chr(0x100 + i) for i, b in enumerate(moved)}
-    probe = " été"
-    spelled = probe.encode().decode("latin-1").translate(table)
-    whole = tok.normalizer is None and tok.pre_tokenizer is not None and [x for x, _ in tok.pre_tokenizer.pre_tokenize_str(probe + " a1")] == [spelled, "\u0120a", "1"]
-    return table if whole else None
+def _by_rank(path: str, tok):
+    """An encoder of plain words and the bytes of each id, if the tokenizer is
+    byte-level with nothing before it and numbers its tokens in the order of its
+    merges, so that a rank is an id; else None."""
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    level, merges = given.get("pre_tokenizer") or {}, given["model"].get("merges") or []
+    if (level.get("type"), level.get("add_prefix_space"), given.get("normalizer")) != ("ByteLevel", False, None):
+        return None, None
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # spelled as themselves; the others from U+0100 on
+    spelled = {chr(b): b for b in kept} | {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in set(kept))}
+    tokens = [bytes(spelled[c] for c in tok.id_to_token(i)) for i in range(256 + len(merges))]
+    if tokens[256:] != [bytes(spelled[c] for c in "".join(m.split(" ") if isinstance(m, str) else m)) for m in merges]:
+        return None, None
+    ranks = {t: i for i, t in enumerate(tokens)}
+    quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return quick.encode_ordinary, np.array([len(t) for t in tokens], dtype=np.int64)
 
 
 def size_class(n: int, max_len: int) -> int:
