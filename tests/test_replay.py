@@ -26,7 +26,7 @@ def test_log_files_are_ordered_bounded_and_complete(spark, tmp_path):
     times = [os.path.getmtime(f) for f in files]
     assert times == sorted(times) and len(set(times)) == 11
     seen = []
-    q = (st.read_replay(spark, path, 2).writeStream.foreachBatch(lambda d, i: seen.append([r.at for r in d.collect()]))
+    q = (st.read_replay(spark, path, 2).writeStream.foreachBatch(lambda d, i: seen.append(sorted(r.at for r in d.collect())))
          .option("checkpointLocation", str(tmp_path / "c")).trigger(**NOW).start())
     st.run_until_done(q)
     assert [(b[0], b[-1], len(b)) for b in seen] == [(200 * k, min(200 * k + 199, 1002), min(200, 1003 - 200 * k)) for k in range(6)]
