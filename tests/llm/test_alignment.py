@@ -79,9 +79,7 @@ def test_wide_groups(monkeypatch):
     narrow = A.Aligner()
     for t, w in zip(texts, want, strict=True):
         got = A.slice_of(narrow, [t], False)
-        assert (got["counts"] == w["counts"]).all() and (got["pair"] == w["pair"]).all() and (got["pair_docs"] == w["pair_docs"]).all()
-        per_pair = [np.bincount(x["link"], weights=x["link_n"], minlength=len(x["pair"])) for x in (got, w)]
-        assert (per_pair[0] == per_pair[1]).all()
+        assert all((got[c] == w[c]).all() for c in ("counts", "pair", "n", "pairs", "times", "end"))
 
 
 @settings(max_examples=300, deadline=None)
@@ -90,7 +88,7 @@ def test_wide_groups(monkeypatch):
 def test_cut_texts_align_like_whole_ones(text):
     got = A.slice_of(ALIGNER, [text], False)
     want = brute([text])[0]
-    assert tuple(got["counts"].tolist()) == want[:4] and got["groups"] == [want[6]]
+    assert tuple(got["counts"][0].tolist()) == want[:4] and got["groups"] == [want[6]]
 
 
 ALIGNER = A.Aligner()

@@ -8,10 +8,10 @@ differences to the previous common end are its ranges of tokens.
 
 Neither tokenizer joins anything across a single space between words, so texts
 are cut there, and each distinct chunk is encoded and aligned once a worker.
-Every slice of documents becomes one row: its documents as chunk numbers, the
-links of its chunks, and its id pairs with how many of the slice's documents hold
-them. Only these pairs are shuffled to be counted over the corpus, and come back
-per slice; a document's sums are then sums over its chunks.
+Slices of documents number their id pairs: a document carries its pairs' numbers
+and how often it links them, and a slice lists its pairs with how many of its
+documents hold them. Only these lists are shuffled to be counted over the corpus;
+their counts meet the slice's documents again in a cogroup, a few MB a slice.
 """
 from __future__ import annotations
 
@@ -32,16 +32,16 @@ from tradewind.llm.common import materialize, read, text_batches
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
-SLICE = 1_000_000  # bytes of text a row stands for
+SLICE = 1_000_000  # bytes of text whose id pairs are numbered together
 KNOWN = 100_000    # chunks a worker remembers
 WIDE = 1024        # links of a group that are listed one by one; of a wider group, id pairs with their number
 
 #: A single space before a visible character of which all engines agree that it
 #: is no white space.
-_CUT = re.compile("(?<! ) (?=[!-~¡-ԯ])")
+_CUT = re.compile("(?<! ) (?=[!-~\u00a1-\u052f])")
 #: Chunks that may stand one behind another in one text, of code points whose
 #: class is the same in all engines.
-_PLAIN = re.compile(" [!-~¡-ԯ](?:[\t\n -~¡-ԯ]*[!-~¡-ԯ])?")
+_PLAIN = re.compile(" [!-~\u00a1-\u052f](?:[\t\n -~\u00a1-\u052f]*[!-~\u00a1-\u052f])?")
 
 
 def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -295,6 +295,14 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.r_[True, values[1:] != values[:-1]][:len(values)]]
 
 
+def _counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the sum of each one's weights."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[first], np.add.reduceat(weights[order], first) if len(first) else weights[:0]
+
+
 def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values, ascending, and each value's place among them."""
     distinct = _distinct(values)
@@ -312,32 +320,31 @@ def _aligner(byte_level: str, pieces: str) -> Aligner:
     return Aligner(byte_level, pieces)
 
 
-_SLICE = ("slice long, ids array<long>, counts array<long>, groups array<string>, chunk array<int>, chunk_end array<int>, "
-          "link array<int>, link_n array<long>, link_end array<int>, pair array<long>, pair_docs array<int>")
+_ROWS = "slice long, id long, counts array<long>, groups string, pairs array<int>, times array<long>, at int, pair long, n int"
 
 
 def slice_of(aligner: Aligner, texts: list[str | None], digests: bool) -> dict:
-    """What the row of a slice holds, except its number and ids."""
+    """Per text ``counts`` (a row of n_a, n_b, n_groups, n_links), ``groups``, and
+    where its ``pairs`` and ``times`` end; per id pair ``pair`` and ``n``, the
+    texts that hold it."""
     order = aligner.chunks(texts)
     flat = np.concatenate([np.zeros(0, dtype=np.int64), *order])
     end = np.cumsum([len(c) for c in order]).astype(np.int64)
     counts = np.stack([_sums(aligner.counts[flat, k], end) for k in range(4)], axis=1)
-    known, chunk = _numbered(flat)
-    start = aligner.link_start[known]
-    links = _ranges(start, aligner.link_end[known])
-    link_end = np.cumsum(aligner.link_end[known] - start)
-    pair, link = _numbered(aligner.link_pair[links])
-    # Documents of each pair: distinct (document, chunk), then distinct (document, pair).
-    n, m = max(1, len(known)), max(1, len(pair))
-    held = _distinct(np.repeat(np.arange(len(texts)), np.diff(end, prepend=0)) * n + chunk)
-    doc, held = held // n, held % n
-    first = np.r_[0, link_end][held]
-    both = _distinct(np.repeat(doc, link_end[held] - first) * m + link[_ranges(first, link_end[held])])
     spelled = [";".join(map(aligner.spelled.__getitem__, c.tolist())) for c in order]
     if digests:
         spelled = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelled]
-    return {"counts": counts.ravel(), "groups": spelled, "chunk": chunk, "chunk_end": end, "link": link, "link_n": aligner.link_n[links],
-            "link_end": link_end, "pair": pair, "pair_docs": np.bincount(both % m, minlength=len(pair))}
+    # Distinct (text, chunk) and how often, then their links, then distinct (text, pair).
+    base = max(1, len(aligner.spelled))
+    held, often = _counted(np.repeat(np.arange(len(texts)), np.diff(end, prepend=0)) * base + flat, np.ones(len(flat), dtype=np.int64))
+    doc, chunk = held // base, held % base
+    start, stop = aligner.link_start[chunk], aligner.link_end[chunk]
+    links = _ranges(start, stop)
+    pair, link = _numbered(aligner.link_pair[links])
+    m = max(1, len(pair))
+    both, times = _counted(np.repeat(doc, stop - start) * m + link, aligner.link_n[links] * np.repeat(often, stop - start))
+    return {"counts": counts, "groups": spelled, "pairs": both % m, "times": times, "end": np.searchsorted(both, (np.arange(len(texts)) + 1) * m),
+            "pair": pair, "n": np.bincount(both % m, minlength=len(pair))}
 
 
 def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_level: str = BYTE_LEVEL, pieces: str = PIECES,
@@ -358,44 +365,49 @@ def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_le
         import pyarrow as pa
         from pyspark import TaskContext
         aligner, number = _aligner(byte_level, pieces), TaskContext.get().partitionId() << 32
-        kinds = {"counts": pa.int64(), "groups": pa.string(), "chunk": pa.int32(), "chunk_end": pa.int32(), "link": pa.int32(), "link_n": pa.int64(),
-                 "link_end": pa.int32(), "pair": pa.int64(), "pair_docs": pa.int32()}
+        names = ["slice", "id", "counts", "groups", "pairs", "times", "at", "pair", "n"]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int32(), pa.int64(), pa.int32()]
         for whole in batches:
             for b in text_batches(whole, ["text"], SLICE):
-                row = slice_of(aligner, b.column("text").to_pylist(), digests)
-                ids = b.column("id")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], ids),
-                     *[pa.ListArray.from_arrays([0, len(row[c])], pa.array(row[c], k)) for c, k in kinds.items()]], names=["slice", "ids", *kinds])
+                got = slice_of(aligner, b.column("text").to_pylist(), digests)
+                docs, pairs, ends = b.num_rows, len(got["pair"]), np.r_[0, got["end"]].astype(np.int32)
+                lists = [pa.ListArray.from_arrays(np.arange(0, 4 * docs + 1, 4, dtype=np.int32), pa.array(got["counts"].ravel())),
+                         pa.array(got["groups"], pa.string()),
+                         pa.ListArray.from_arrays(ends, pa.array(got["pairs"], pa.int32())), pa.ListArray.from_arrays(ends, pa.array(got["times"]))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(docs, number)), b.column("id"), *lists, *[pa.nulls(docs, k) for k in kinds[6:]]], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(pairs, number)), *[pa.nulls(pairs, k) for k in kinds[1:6]], pa.array(np.arange(pairs), pa.int32()),
+                                                  pa.array(got["pair"]), pa.array(got["n"], pa.int32())], names=names)
                 number += 1
 
-    slices = materialize(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(encode, _SLICE), "aligned")
-    held = slices.select("slice", F.posexplode(F.arrays_zip("pair", "pair_docs")).alias("at", "p")).select(
-        "slice", "at", F.col("p.pair").alias("pair"), F.col("p.pair_docs").alias("n"))
+    rows = materialize(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(encode, _ROWS), "aligned")
+    docs = rows.where("pair is null").select("slice", "id", "counts", "groups", "pairs", "times")
+    held = rows.where("pair is not null").select("slice", "at", "pair", "n")
     count = materialize(held.groupBy("pair").agg(F.sum("n").alias("count")), "pairs")
     first = F.shiftright("pair", 32).alias("a")
     most = count.groupBy(first).agg(F.max("count").alias("most"))
-    known = count.select("pair", "count", first).join(most, "a").select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
-    # A slice's pairs, at most its links, come back to it.
-    back = held.join(known, "pair").groupBy("slice").agg(F.collect_list(F.struct("at", "count", "best")).alias("known"))
+    known = count.select("pair", "count", first).join(most, "a").select("pair", "count", (F.col("count") == F.col("most")).cast("long").alias("best"))
+    back = held.join(known, "pair").select(F.col("slice").alias("of"), "at", "count", "best")
 
-    def total(batches):
+    def total(of, counted):
         import pyarrow as pa
+        import pyarrow.compute as pc
         _aligner.cache_clear()  # a worker that has encoded keeps no chunks now
-        for whole in batches:
-            for k in range(whole.num_rows):
-                row = {c: whole.column(c).slice(k, 1).flatten() for c in whole.schema.names if c != "slice"}
-                got = {c: v.to_numpy(zero_copy_only=False) for c, v in row.items() if c not in ("ids", "groups", "known")}
-                at, count, best = (row["known"].field(i).to_numpy(zero_copy_only=False) for i in range(3))
-                rows, wins = np.zeros((2, len(at)), dtype=np.int64)
-                rows[at], wins[at] = count, best
-                link, end = got["link"], got["link_end"]
-                n_best, count_sum = (_sums(_sums(got["link_n"] * x[link], end)[got["chunk"]], got["chunk_end"]) for x in (wins, rows))
-                counts = got["counts"].reshape(-1, 4)
-                yield pa.RecordBatch.from_arrays([row["ids"], *[pa.array(c) for c in (*counts.T, n_best, count_sum)], row["groups"]],
-                                                 names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
-
-    return slices.drop("pair", "pair_docs").join(back, "slice", "left").mapInArrow(
+        of, counted = of.combine_chunks(), counted.combine_chunks()
+        at = counted.column("at").to_numpy()
+        values = []
+        for c in ("best", "count"):
+            by_number = np.zeros(len(at), dtype=np.int64)
+            by_number[at] = counted.column(c).to_numpy()
+            values.append(by_number)
+        pairs, times, counts = (of.column(c).combine_chunks() for c in ("pairs", "times", "counts"))
+        number, often = (x.flatten().to_numpy(zero_copy_only=False) for x in (pairs, times))
+        end = np.cumsum(pc.list_value_length(pairs).to_numpy(zero_copy_only=False)).astype(np.int64)
+        sums = [_sums(often * v[number], end) for v in values]
+        four = counts.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4)
+        return pa.table([of.column("id"), *[pa.array(np.ascontiguousarray(c)) for c in (*four.T, *sums)], of.column("groups")],
+                        names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+
+    return docs.groupBy("slice").cogroup(back.groupBy("of")).applyInArrow(
         total, "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
 
 

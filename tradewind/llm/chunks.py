@@ -15,7 +15,7 @@ import numpy as np
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 #: From here on, Unicode versions of regex engines may differ on a code point's class.
-UNSURE = "԰"
+UNSURE = "\u0530"
 
 #: Class of each Latin-1 code point: white space, full stop or comma, letter or
 #: digit, other.
