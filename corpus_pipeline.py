@@ -52,16 +52,18 @@ def dedup(spark, docs, sf_dir):
     groups = jaccard_components(docs, n=DEDUP_WORDS, percent=DEDUP_PERCENT).where("id is not null and component is not null").select("id", "text_hash", "component")
     first = groups.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("first"))
     drop = groups.join(first, "component").where((F.col("id") != F.col("first.id")) | (F.col("text_hash") != F.col("first.text_hash")))
-    drop = drop.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    text = F.xxhash64(docs["text"])
-    kept = docs.join(drop, (docs["doc_id"] == F.col("_id")) & (text == F.col("_hash")), "left_anti")
-    again = groups.groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")
-    again = again.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
-    if again.isEmpty():
-        return kept
-    match = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    one = kept.join(again, match, "left_semi").withColumn("_nth", F.row_number().over(W.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")))
-    return kept.join(again, match, "left_anti").unionByName(one.where("_nth = 1").drop("_nth"))
+    drop = drop.select("id", F.col("text_hash").alias("hash")).distinct()
+    # The documents' columns by place, so that no name clashes with the keys.
+    names = [f"_kept_{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    match = (doc_id == F.col("id")) & (F.xxhash64(text) == F.col("hash"))
+    kept = rows.join(drop, match, "left_anti")
+    again = groups.groupBy("id", F.col("text_hash").alias("hash")).agg(F.count("*").alias("rows")).where("rows > 1").select("id", "hash")
+    if not again.isEmpty():
+        one = kept.join(again, match, "left_semi").withColumn("nth", F.row_number().over(W.partitionBy(doc_id, F.xxhash64(text)).orderBy(doc_id)))
+        kept = kept.join(again, match, "left_anti").unionByName(one.where("nth = 1").drop("nth"))
+    return kept.toDF(*docs.columns)
 
 
 def packing(spark, docs, sf_dir):
