@@ -34,7 +34,7 @@ def test_stages_and_run(spark):
 
 
 def test_stages_take_edge_rows(spark):
-    docs = edge_docs(spark, "source", "n_chars", "component_id", "lang_pred").withColumn("lang", F.lit(None).cast("string"))
+    docs = edge_docs(spark, "source", "n_chars", "component_id", "lang_pred", "toxic", "lid", "_id", "_hash", "hash", "nth", "o", "label").withColumn("lang", F.lit(None).cast("string"))
     clean = P.language(spark, docs, SF)  # no usable language: every document is undetermined
     assert clean.count() == 0 and clean.columns == docs.columns
     calm = P.toxicity(spark, docs, SF)
