@@ -29,7 +29,7 @@ _BY_WINDOW = "GROUP BY window_start, window_end, exchange"
 
 SESSIONS = """stepped AS (
   SELECT trader_id, event_time, amount_usd,
-         CASE WHEN event_time - lag(event_time) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
+         CASE WHEN event_time - lag(event_time) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
   FROM trades WINDOW w AS (PARTITION BY trader_id ORDER BY event_time)),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY trader_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS nth FROM stepped)"""
 

@@ -35,7 +35,7 @@ def distinct_messages(df: DataFrame, keys: Sequence[str], time_col: str = "event
 
 def trader_sessions(df: DataFrame, gap: str, key_col: str = "trader_id", time_col: str = "event_timestamp",
                     amount_col: str = "amount_usd", watermark: str | None = TRADE_WATERMARK) -> DataFrame:
-    """Per key, stretches of rows less than ``gap`` apart: start, end (last row
+    """Per key, stretches of rows at most ``gap`` apart: start, end (last row
     plus ``gap``), rows and amount. As a stream in append mode, a session comes
     out once the watermark has passed its end."""
     rows = df.where(F.col(time_col).isNotNull())
