@@ -42,6 +42,24 @@ def test_log_of_equal_keys_and_of_nothing(spark, tmp_path):
         st.write_replay_log(same, str(tmp_path / "c"), ["at"], 0)
 
 
+def test_log_splits_batches_and_encodes_ordered_rows(spark, tmp_path):
+    """Ties, nulls and equal rows over the borders of files; messages are made after the shuffle."""
+    at = F.when(F.col("id") % 7 > 2, F.lit(5)).when(F.col("id") % 7 > 0, F.col("id") % 400)
+    df = spark.range(0, 1003, 1, 7).select(at.alias("at"), (F.col("id") % 2).alias("b"), F.lit(1).alias("same"))
+    want = sorted(((r.at, r.b) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for order, k in ((["at", "b"], 2), ([F.col("at") + 0], 1)):
+        path = str(tmp_path / f"log{k}")
+        n = st.write_replay_log(df, path, order, 100, ["m"], lambda rows: rows.select(F.struct("at", "b").alias("m")), split=3, tasks=4)
+        parts = [[tuple(r.m) for r in spark.read.parquet(f).collect()] for f in _files(path)]
+        assert n == len(parts) == 31 and [len(p) for p in parts] == [34, 33, 33] * 10 + [3]
+        assert [r[:k] for p in parts for r in p] == [r[:k] for r in want]
+        assert sorted((r for p in parts for r in p), key=repr) == sorted(want, key=repr)
+    n = st.write_replay_log(df.select("same"), str(tmp_path / "equal"), ["same"], 250, split=2)
+    assert [spark.read.parquet(f).count() for f in _files(str(tmp_path / "equal"))] == [125] * 8 + [3] and n == 9
+    with pytest.raises(ValueError):
+        st.write_replay_log(df, str(tmp_path / "c"), ["at"], 2, split=3)
+
+
 def _minute(m):
     return dt.datetime(2026, 8, 1, 8) + dt.timedelta(minutes=m)
 

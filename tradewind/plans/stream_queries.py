@@ -7,6 +7,8 @@ batches. A deployment bounds a batch by ``rows_per_file`` instead.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import functions as F
 
 from .. import operators as ops
@@ -22,6 +24,7 @@ from ..sources.decode import decode_messages
 from ..sources.offsets import lost_ranges
 
 BATCHES = 12
+ROWS_PER_TASK = 1_000_000  # a larger batch is several files of its log, a larger table more range partitions
 AVAILABLE_NOW = st.trigger_options(available_now=True)
 CRASH_AT = 5  # batch after whose write the planned crash comes
 
@@ -37,21 +40,35 @@ SETS = [DIMS, DIMS[:2], ["day_of_week", "amount_category"], ["amount_category",
 PERCENTILES = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
 
 
-def _rows_per_file(df) -> int:
-    return max(1, -(-df.count() // BATCHES))
+class Log(NamedTuple):
+    path: str
+    files_per_batch: int
+
+
+def _log(spark, df, order_by, columns=None, encode=None) -> Log:
+    path, rows = shared_dir(spark, "log"), df.count()
+    per_batch = max(1, -(-rows // BATCHES))
+    split = -(-per_batch // ROWS_PER_TASK)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+    st.write_replay_log(df, path, order_by, per_batch, columns, encode, split, tasks)
+    return Log(path, split)
+
+
+def _message_log(spark, df, beside) -> Log:
+    """The rows as messages in the order of the columns ``beside``, which are not
+    part of the messages."""
+    return _log(spark, df, beside, ["key", "value"], lambda rows: ops.encode_messages(rows, beside=beside))
 
 
-def _log(spark, df, order_by, columns=None) -> str:
-    path = shared_dir(spark, "log")
-    st.write_replay_log(df, path, order_by, _rows_per_file(df), columns)
-    return path
+def _replay(spark, log: Log):
+    return st.read_replay(spark, log.path, log.files_per_batch)
 
 
 def _finish(spark, start, *logs) -> str:
     """Run a stream over logs to its end; they and the checkpoint go."""
     out, ckpt = shared_dir(spark, "replayed"), shared_dir(spark, "ckpt")
     st.run_until_done(start(out, ckpt))
-    for path in (ckpt, *logs):
+    for path in (ckpt, *(log.path for log in logs)):
         remove_path(spark, path)
     return out
 
@@ -66,7 +83,7 @@ def _crash_and_finish(spark, start, *logs) -> str:
         if st.Interrupted.__name__ not in str(e):
             raise
         st.run_until_done(start(out, ckpt))
-    for path in (ckpt, *logs):
+    for path in (ckpt, *(log.path for log in logs)):
         remove_path(spark, path)
     return out
 
@@ -79,14 +96,14 @@ def _delayed(trades):
     return trades.withColumn("arrival", F.col("event_time") + delay)
 
 
-def _late_log(spark, sf_dir) -> str:
+def _late_log(spark, sf_dir) -> Log:
     rows = _delayed(views.trades(spark, sf_dir)).withColumn("id", F.col("trade_id"))
-    return _log(spark, ops.encode_messages(rows, beside=["arrival", "id"]), ["arrival", "id"], ["key", "value"])
+    return _message_log(spark, rows, ["arrival", "id"])
 
 
-def _ordered_log(spark, sf_dir) -> str:
+def _ordered_log(spark, sf_dir) -> Log:
     rows = views.trades(spark, sf_dir).withColumns({"arrival": F.col("event_time"), "id": F.col("trade_id")})
-    return _log(spark, ops.encode_messages(rows, beside=["arrival", "id"]), ["arrival", "id"], ["key", "value"])
+    return _message_log(spark, rows, ["arrival", "id"])
 
 
 def _window_totals(changelog):
@@ -99,7 +116,7 @@ def late_windows(spark, sf_dir):
     the watermark has not closed their window, and dropped after. Beside the
     stream's result: how many trades of the window arrived, how many were dropped."""
     log = _late_log(spark, sf_dir)
-    agg = st.trade_windows(st.read_replay(spark, log))
+    agg = st.trade_windows(_replay(spark, log))
     out = _finish(spark, lambda o, c: st.start_batch_sink(agg, o, c, "update", trigger=AVAILABLE_NOW,
                                                           state_partitions=default_parallelism(spark)), log)
     counted = _window_totals(spark.read.parquet(out))
@@ -117,7 +134,7 @@ def restarted_windows(spark, sf_dir):
     and before it is recorded as done, and is started again. State, watermark
     and output come back as they were."""
     log = _late_log(spark, sf_dir)
-    agg = st.trade_windows(st.read_replay(spark, log))
+    agg = st.trade_windows(_replay(spark, log))
     writers = {}
 
     def start(out, ckpt):
@@ -133,8 +150,8 @@ def distinct_trades(spark, sf_dir):
     trades = views.trades(spark, sf_dir)
     sent = trades.withColumn("copy", copies).withColumn("arrival", F.col("event_time") + F.make_dt_interval(F.lit(0), F.col("copy") * REDELIVERY_HOURS))
     rows = sent.withColumn("id", F.col("trade_id"))
-    log = _log(spark, ops.encode_messages(rows.drop("copy"), beside=["arrival", "id"]), ["arrival", "id"], ["key", "value"])
-    stream = st.with_event_time(decode_messages(st.read_replay(spark, log), trades.schema, "trade_id"))
+    log = _message_log(spark, rows.drop("copy"), ["arrival", "id"])
+    stream = st.with_event_time(decode_messages(_replay(spark, log), trades.schema, "trade_id"))
     once = st.distinct_messages(stream, ["trade_id"], within=REDELIVERY_WITHIN).drop("event_timestamp")
     out = _finish(spark, lambda o, c: st.start_file_sink(once, o, c, trigger=AVAILABLE_NOW, state_partitions=default_parallelism(spark)), log)
     return spark.read.parquet(out)
@@ -145,8 +162,8 @@ def committed_transactions(spark, sf_dir):
     between a batch's write and its commit leaves data that no manifest names,
     and the restart writes it again. Read through the manifests."""
     rows = views.transactions(spark, sf_dir)
-    log = _log(spark, ops.encode_transactions(rows).withColumn("at", F.xxhash64("key", "value")), ["at"], ["key", "value"])
-    stream = st.enriched_transaction_stream(st.read_replay(spark, log))
+    log = _log(spark, rows, [F.xxhash64(*rows.columns)], ["key", "value"], ops.encode_transactions)
+    stream = st.enriched_transaction_stream(_replay(spark, log))
     left = [CRASH_AT]
 
     def start(out, ckpt):
@@ -161,7 +178,7 @@ def window_snapshot(spark, sf_dir):
     and exchange, by rewriting only the buckets (days modulo 16) that a batch
     touches; with a crash between a batch's write and its commit."""
     log = _ordered_log(spark, sf_dir)
-    agg = st.flatten_window(st.trade_windows(st.read_replay(spark, log)))
+    agg = st.flatten_window(st.trade_windows(_replay(spark, log)))
     day = F.pmod(F.datediff(F.col("window_start"), F.lit("1970-01-01").cast("date")), F.lit(16))
     left = [CRASH_AT]
 
@@ -186,7 +203,7 @@ def trader_sessions(spark, sf_dir):
     """Session windows per trader (6 hours apart) as a stream in append mode: the
     sessions that the watermark has closed."""
     log = _ordered_log(spark, sf_dir)
-    stream = st.with_event_time(decode_messages(st.read_replay(spark, log), views.trades(spark, sf_dir).schema, "trade_id"))
+    stream = st.with_event_time(decode_messages(_replay(spark, log), views.trades(spark, sf_dir).schema, "trade_id"))
     found = st.trader_sessions(stream, SESSION_GAP)
     with session_conf(spark, st.SESSION_CONF):
         out = _finish(spark, lambda o, c: st.start_file_sink(found, o, c, trigger=AVAILABLE_NOW, state_partitions=default_parallelism(spark)), log)
@@ -212,7 +229,7 @@ def versioned_traders(spark, sf_dir):
     v = v.withColumns({c: F.col(c).cast("timestamp") for c in ("valid_from", "valid_to")})
     t_log = _log(spark, t, ["event_time", "trade_id"], ["trade_id", "trader_id", "amount_usd", "trade_time"])
     v_log = _log(spark, v, ["valid_from", "trader_id"])
-    joined = st.versioned_join(st.read_replay(spark, t_log), st.read_replay(spark, v_log), "trader_id", "trade_time",
+    joined = st.versioned_join(_replay(spark, t_log), _replay(spark, v_log), "trader_id", "trade_time",
                                "valid_from", "valid_to", LONGEST_VALIDITY)
     found = joined.select("trade_id", "trader_id", "amount_usd", "version", "risk_level")
     out = _finish(spark, lambda o, c: st.start_file_sink(found, o, c, trigger=AVAILABLE_NOW, state_partitions=default_parallelism(spark)), t_log, v_log)

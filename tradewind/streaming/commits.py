@@ -101,7 +101,7 @@ def committed_writer(path: str, partition_by: Sequence[str] = (),
         obs = Observation(f"commit_{batch_id}")
         rows = df.hint("rebalance", *partition_by) if partition_by else df
         folder = f"{DATA}/batch={batch_id}/attempt={uuid.uuid4().hex}"
-        rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
+        rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").partitionBy(*partition_by).parquet(f"{path}/{folder}")
         if before_commit is not None:
             before_commit(batch_id)
         commit(spark, path, batch_id, {"rows": obs.get["rows"], "folder": folder, "files": _files(spark, path, folder)})
