@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..functions.scalars import (format_transaction_time, hex_id, money_sum, padded_id, parse_iso_time,
                                  round_money)
-from ..session import default_parallelism, remove_path, shared_dir
+from ..session import default_parallelism, remove_path, session_conf, shared_dir
 from ..sinks import files as sinks
 from ..sources import files as src
 from ..sources import lookup as src_lookup
@@ -324,6 +324,9 @@ def partitioned_enriched(spark, sf_dir):
 # -- event-time windows and streams -------------------------------------------
 
 ENRICH_PARTITIONS = ["day_of_week", "amount_category"]
+# A row of a table's file is some 40 times as large as a message: a split of the
+# default 128 MB would be minutes of one task, and a few of them leave cores idle.
+STREAM_SPLITS = {"spark.sql.files.maxPartitionBytes": str(16 << 20)}
 AVAILABLE_NOW = st.trigger_options(available_now=True)
 
 
@@ -348,7 +351,9 @@ def _transaction_stream(spark, sf_dir, max_files_per_trigger: int = 64):
 def _run(spark, start) -> str:
     """Run a stream to its end; its checkpoint goes, its output folder stays."""
     out, ckpt = shared_dir(spark, "stream"), shared_dir(spark, "ckpt")
-    st.run_until_done(start(out, ckpt))
+    with session_conf(spark, STREAM_SPLITS):
+        query = start(out, ckpt)
+    st.run_until_done(query)
     remove_path(spark, ckpt)
     return out
 

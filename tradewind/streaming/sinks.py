@@ -111,16 +111,20 @@ def start_batch_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
                     fmt: str = "parquet", trigger: dict | None = None,
-                    state_partitions: int | None = None, files_per_partition: int = 4) -> StreamingQuery:
+                    state_partitions: int | None = None, files_per_partition: int | None = None) -> StreamingQuery:
     """K3 with Spark's exactly-once file sink (append mode only).
 
-    Rows are first dealt by the partition columns and a salt in
-    ``[0, files_per_partition)``, so a batch writes at most that many files into
-    a directory, however many tasks read its input; raise it where one
-    directory holds more than a task should write.
+    Rows are first rebalanced on the partition columns (AQE runs in stateless
+    streams): a directory gets files of the advisory size from as many tasks as
+    its rows need, few of them however many tasks read the batch. With
+    ``files_per_partition`` they are dealt by the partition columns and a salt
+    below it instead, and a batch writes at most that many files into a
+    directory; give it for stateful streams, which AQE does not split.
     The sink's metadata log lists every file
     and is compacted on the driver: bound the files with long triggers."""
-    if partition_by:
+    if partition_by and files_per_partition is None:
+        df = df.hint("rebalance", *partition_by)
+    elif partition_by:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_by], salt)
     w = (df.writeStream.format(fmt).outputMode("append")
