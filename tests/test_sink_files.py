@@ -10,6 +10,7 @@ from tradewind import operators as ops
 from tradewind import sinks
 from tradewind import streaming as st
 from tradewind.plans import jobs, queries
+from tradewind.session import session_conf
 from tradewind.sources import views
 
 
@@ -65,6 +66,29 @@ def test_compaction_keeps_rows_and_shrinks_files(spark, tmp_path):
     assert st.compact_batches(spark, out, into, ["k"]).count() == 120  # a rerun replaces it
 
 
+def test_file_sink_splits_a_large_directory(spark, tmp_path):
+    """A directory that holds most rows is written by more tasks, by its size."""
+    spark.range(0, 400_000, 1, 16).select("id", F.lit("a").alias("k")).write.parquet(str(tmp_path / "t.parquet"))
+    rows = st.read_table_stream(spark, str(tmp_path), "t")
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k"}):
+        st.run_until_done(st.start_file_sink(rows, str(tmp_path / "o"), str(tmp_path / "c"), ["k"], trigger=queries.AVAILABLE_NOW))
+    assert len(_files(str(tmp_path / "o"))) > 4
+    assert spark.read.parquet(str(tmp_path / "o")).agg(F.count("*"), F.sum("id")).first() == (400_000, sum(range(400_000)))
+
+
+def test_compaction_does_not_shuffle(spark, tmp_path, monkeypatch):
+    out, into = str(tmp_path / "o"), str(tmp_path / "c")
+    for b in range(3):
+        st.batch_writer(out, ["k", "l"])(spark.range(40).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("k"), F.lit("a=/b c").alias("l")), b)
+    want = sorted(map(tuple, spark.read.parquet(out).select("id", "k", "l").collect()), key=repr)
+    with monkeypatch.context() as m:
+        m.delattr(type(spark.range(1)), "hint")
+        table = st.compact_batches(spark, out, into, ["k", "l"])
+    assert sorted(map(tuple, table.collect()), key=repr) == want and len(_files(into)) < len(_files(out))
+    monkeypatch.setattr("tradewind.streaming.sinks.MOST_DIRECTORIES", 2)
+    assert sorted(map(tuple, st.compact_batches(spark, out, into, ["k", "l"]).collect()), key=repr) == want
+
+
 def test_feed_job_encodes_under_wire_names(spark, tmp_path):
     from tradewind.schemas import TRANSACTION_RAW_NAMES
     names = [k for k, v in TRANSACTION_RAW_NAMES.items() if v != "kafka_timestamp"]

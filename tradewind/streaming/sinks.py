@@ -18,8 +18,9 @@ shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,6 +28,10 @@ from ..session import session_conf
 
 BATCH_COL = "batch_id"
 
+#: Stored bytes that one task of ``compact_batches`` folds into a file, and the
+#: directories up to which it reads each by itself.
+COMPACT_BYTES, MOST_DIRECTORIES = 128 << 20, 200
+
 
 def trigger_options(processing_time: str | None = None, available_now: bool = False) -> dict:
     """Keyword arguments for ``DataStreamWriter.trigger``."""
@@ -51,8 +56,10 @@ def batch_writer(path: str, partition_by: Sequence[str] = (), fmt: str = "parque
         obs = Observation(f"batch_{batch_id}")
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
+        if fmt == "parquet":
+            out = out.option("compression", "zstd")
+        (out.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy(*partition_by).save(f"{path}/{BATCH_COL}={batch_id}"))
         if on_batch is not None:
             on_batch(batch_id, obs.get["rows"])
@@ -64,14 +71,28 @@ def compact_batches(spark: SparkSession, path: str, into: str, partition_by: Seq
     """Fold the batches of ``path`` (those up to batch ``up_to``, which must be
     committed) into one table at ``into``, few files a partition; a rerun
     replaces it. The batch folders stay; the caller drops them once readers
-    have moved on."""
+    have moved on.
+
+    The batches are laid out by ``partition_by`` already: the files of one
+    directory go to one task for each ``COMPACT_BYTES`` and nothing is shuffled.
+    Over ``MOST_DIRECTORIES``, too many for a plan each, rows are rebalanced."""
     rows = spark.read.parquet(path)
     if up_to is not None:
         rows = rows.where(F.col(BATCH_COL) <= up_to)
+    directories = rows.groupBy(*partition_by).count().limit(MOST_DIRECTORIES + 1).collect() if partition_by else []
     rows = rows.drop(BATCH_COL)
-    if partition_by:
+    if len(directories) > MOST_DIRECTORIES:
         rows = rows.hint("rebalance", *partition_by)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(into)
+    elif directories:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        stored = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+        total = sum(d["count"] for d in directories)
+        rows = reduce(DataFrame.union, [
+            rows.where(reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(d[c])) for c in partition_by]))
+                .coalesce(-(-stored * d["count"] // (total * COMPACT_BYTES))) for d in directories])
+    # A task writes few directories, so none is sorted first; one-task parts stay apart.
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4", "spark.sql.unionOutputPartitioning": "false"}):
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(into)
     return spark.read.parquet(into)
 
 
