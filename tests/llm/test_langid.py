@@ -87,3 +87,21 @@ def test_quotes_and_dashes_end_words():
     words = L.crf.Words(["“idiot” — l’état\u00a0²x", "idiot"])
     assert L.crf.fold("“Idiot”") == " idiot " and words.n == 5
     assert words.hash[0] == words.hash[-1]
+
+
+def test_labelling_a_slice_takes_little_memory():
+    """Every Python worker of an executor holds one slice at a time."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tradewind.llm import crf
+    k = 8
+    model = crf.Model([str(i) for i in range(k)], np.zeros((crf.BUCKETS, k), dtype=np.float32), np.zeros((k, k)), np.zeros(k),
+                      np.zeros(1, dtype=np.uint64), np.array([k]), np.zeros((k + 1, k)))
+    text = "words of some length " * (L.SLICE // 21)
+    tracemalloc.start()
+    assert model.marginals(crf.Words([text])).shape[1] == k
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80_000_000

@@ -25,6 +25,7 @@ SAMPLE_CHARS = 4_000  # of one sampled document: a longer one's window
 LANGUAGES = 64        # learned: those with most rows
 RUNS = 6              # runs of words taken from each sampled document
 SHORTEST, LONGEST = 5, 40  # words in a run
+SLICE = 200_000       # bytes of text labelled together: arrays of some 100 times as much
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -109,7 +110,7 @@ def identify(df: DataFrame, model: crf.Model | None, id_col: str = "doc_id", tex
         m = shared.value
         names = ["id", "lang_pred", "score", "n_words", "langs"]
         for whole in batches:
-            for b in text_batches(whole, ["text"], 1_000_000):
+            for b in text_batches(whole, ["text"], SLICE):
                 texts = b.column("text").to_pylist()
                 rows = [(UNKNOWN, 0.0, 0, {})] * len(texts)
                 if m is not None:

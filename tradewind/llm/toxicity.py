@@ -142,7 +142,7 @@ def score(df: DataFrame, model: ToxicModel | None, id_col: str = "doc_id", text_
         import pyarrow as pa
         m = shared.value
         for whole in batches:
-            for b in text_batches(whole, ["text"], 1_000_000):
+            for b in text_batches(whole, ["text"], 200_000):
                 texts = b.column("text").to_pylist()
                 scores, spans = np.zeros(len(texts)), [[] for _ in texts]
                 if m is not None:
