@@ -71,3 +71,26 @@ def test_fit_learns_words_and_transitions():
     p = m.marginals(crf.Words(["red xx xx blue", "one xx two"]))
     assert p.argmax(axis=1).tolist() == [0, 0, 0, 0, 1, 1, 1]
     assert m.move[0, 0] > m.move[0, 1] and m.move[1, 1] > m.move[1, 0]
+
+
+def test_training_in_parts_equals_training_at_once():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["red", "green", "one", "two", "tree", "gr\u00fcn"], size=int(rng.integers(0, 30)))) for _ in range(200)]
+    parts = [crf.Words(t).features() for t in crf.slices(texts, 700)]
+    whole = crf.Words(texts)
+    assert [t for part in crf.slices(texts, 700) for t in part] == texts and len(parts) > 10
+    assert all(sum(len(t.encode()) for t in part) <= 700 for part in crf.slices(texts, 700))
+    assert [t for part in crf.slices([None, "abc", "", "d" * 9], 5) for t in part] == [None, "abc", "", "d" * 9]
+    gold = rng.integers(0, 3, size=whole.n)
+    a, b = (crf.fit(w, gold, ["x", "y", "z"]) for w in (parts, whole))
+    assert np.array_equal(a.lexicon, b.lexicon) and np.array_equal(a.lexicon_label, b.lexicon_label)
+    assert all(np.allclose(x, y, atol=1e-5) for x, y in ((a.table, b.table), (a.move, b.move), (a.begin, b.begin), (a.bonus, b.bonus)))
+
+
+def test_long_tables_of_powers_are_not_kept():
+    from tradewind.llm import byte_spans
+    data = bytes(range(256)) * 2100  # longer than the kept tables
+    long, short = byte_spans.ByteSpans(data), byte_spans.ByteSpans(data[512:768])
+    assert all(len(t) <= byte_spans.KEPT for t in byte_spans._tables)
+    at = np.array([0, 256, 512, len(data) - 256])
+    assert long.hash(at, at + 256).tolist() == [int(short.hash(np.array([0]), np.array([256]))[0])] * 4

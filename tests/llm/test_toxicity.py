@@ -57,3 +57,22 @@ def test_class_of_long_documents_only_is_learned(spark):
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
     got = {r.id: r.predicted for r in T.score(docs, T.fit_toxicity(docs, labels)).collect()}
     assert got == {i: i % 2 for i, _ in rows}
+
+
+def test_training_holds_one_part_at_a_time():
+    """A training task's memory goes by one part of the sample, not the sample."""
+    import tracemalloc
+    rng = random.Random(9)
+    plain = ["".join(rng.choices("aeiourstln", k=6)) for _ in range(3000)]
+
+    def text(label):
+        words = rng.choices(plain, k=2800)
+        words[::400] = ["grumble" + "".join(rng.choices("dfkn", k=3))] * 7 if label else words[::400]
+        return " ".join(words)
+    rows = [(i % 2, text(i % 2)) for i in range(160)]
+    tracemalloc.start()
+    model = T.train(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.field.labels == ["clean", "toxic"]
+    assert peak < 45_000_000

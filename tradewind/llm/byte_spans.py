@@ -5,6 +5,7 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
 _STEPS = (_BASE, pow(_BASE, -1, 1 << 64))
+KEPT = 1 << 18  # powers kept between calls: 4 MB
 _tables = [np.ones(1, dtype=np.uint64) for _ in _STEPS]
 
 #: ASCII white space: 0x20 and 0x09 to 0x0D.
@@ -20,11 +21,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int):
-    while len(_tables[0]) <= n:
-        m = len(_tables[0])
-        for i, step in enumerate(_STEPS):
-            _tables[i] = np.concatenate([_tables[i], _tables[i] * np.uint64(pow(step, m, 1 << 64))])
-    return _tables
+    """Powers 0 to ``n`` of both steps. A worker keeps ``KEPT`` of them; longer
+    tables live as long as the spans that use them."""
+    global _tables
+    tables = _tables
+    while len(tables[0]) <= n:
+        m = len(tables[0])
+        tables = [np.concatenate([t, t * np.uint64(pow(step, m, 1 << 64))]) for t, step in zip(tables, _STEPS, strict=True)]
+        if len(tables[0]) <= KEPT:
+            _tables = tables
+    return tables
 
 
 class ByteSpans:

@@ -45,6 +45,15 @@ def text_batches(batch, columns, max_chars: int = 4_000_000):
         yield batch.slice(start)
 
 
+def give_back():
+    """Return freed memory to the system. A Python worker outlives its tasks, and
+    glibc keeps the freed arrays of one stage while the next asks for its own."""
+    import contextlib
+    import ctypes
+    with contextlib.suppress(OSError, AttributeError, TypeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_one_task(rows: DataFrame, fit):
     """``fit(list of dicts)`` over ``rows``, a sample of bounded size, in one
     task: the rows and the work stay off the driver, which gets the result."""
@@ -52,7 +61,9 @@ def in_one_task(rows: DataFrame, fit):
         import pickle
 
         import pyarrow as pa
+        give_back()
         got = fit([r for b in batches for r in b.to_pylist()])
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(got)], pa.binary())], names=["result"])
 
     import pickle

@@ -23,6 +23,7 @@ _MARK = re.compile(r"(?![\x00-\x7f])[\W\d]")
 AFFIX = 4
 GRAM = 3
 STRIP = 96
+SLICE = 200_000  # bytes of text whose arrays are held at once in training
 
 #: Bytes of words: letters of ASCII, and every byte of other code points, of
 #: which ``fold`` leaves only letters.
@@ -42,6 +43,21 @@ def fold(text: str | None) -> str:
     return _MARK.sub(" ", low)
 
 
+def slices(texts: list[str | None], most: int = SLICE):
+    """The texts in their order, in lists of at most ``most`` bytes (a longer
+    text is a list of its own)."""
+    part, size = [], 0
+    for t in texts:
+        n = len((t or "").encode("utf-8", "surrogatepass"))
+        if part and size + n > most:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += n
+    if part:
+        yield part
+
+
 def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
     return (mix(h + np.uint64(kind * 0x632BE59BD9B4E019 % (1 << 64))) >> np.uint64(64 - 17)).astype(np.int32)
 
@@ -68,10 +84,15 @@ class Words:
         self.fixed = np.stack(cols) if self.n else np.zeros((1 + 2 * AFFIX, 0), dtype=np.int32)
         grams = np.maximum(0, size - GRAM + 1)
         self.gram_end = np.cumsum(grams)
-        self.gram_word = np.repeat(np.arange(self.n), grams)
-        p = start[self.gram_word] + np.arange(len(self.gram_word)) - (self.gram_end - grams)[self.gram_word]
+        word = np.repeat(np.arange(self.n), grams)
+        p = start[word] + np.arange(len(word)) - (self.gram_end - grams)[word]
         self.grams = _bucket(self.spans.hash(p, p + GRAM), 2 * AFFIX + 1)
 
+    def features(self) -> Words:
+        """These words without their places in the text, to train on."""
+        del self.spans, self.start, self.stop
+        return self
+
     def scores(self, table: np.ndarray, lexicon: np.ndarray, lexicon_label: np.ndarray, bonus: np.ndarray) -> np.ndarray:
         out = np.zeros((self.n, table.shape[1]), dtype=np.float32)
         for row in self.fixed:
@@ -165,36 +186,45 @@ class Model:
         return marginals(words.scores(self.table, self.lexicon, self.lexicon_label, self.bonus), words.resets, self.move, self.begin)
 
 
-def fit(words: Words, gold: np.ndarray, labels: list, rounds: int = 30, rate: float = 0.3,
+def fit(words: Words | list[Words], gold: np.ndarray, labels: list, rounds: int = 30, rate: float = 0.3,
         weight: np.ndarray | None = None, l2: float = 1e-4) -> Model:
     """Maximum likelihood of the words' gold labels, by full-batch Adagrad.
-    The lexicon holds the words seen 3 times or more, 95 in 100 with one label."""
-    k, n = len(labels), words.n
-    one = np.eye(k)[gold]
+    The lexicon holds the words seen 3 times or more, 95 in 100 with one label.
+    Words in several parts are labelled part by part, and each round adds up
+    their gradients."""
+    parts = [words] if isinstance(words, Words) else words
+    k, n = len(labels), sum(p.n for p in parts)
     w = np.ones(n) if weight is None else weight
-    unique, inverse = np.unique(words.hash, return_inverse=True)
+    resets = np.concatenate([p.resets for p in parts])
+    unique, inverse = np.unique(np.concatenate([p.hash for p in parts]), return_inverse=True)
     by = np.zeros((len(unique), k))
     np.add.at(by, (inverse, gold), 1)
     sure = (by.max(axis=1) >= 0.95 * by.sum(axis=1)) & (by.sum(axis=1) >= 3) if len(unique) else np.zeros(0, dtype=bool)
     lexicon = np.r_[unique[sure], np.uint64(0)].astype(np.uint64)
     lexicon_label = np.r_[by[sure].argmax(axis=1) if sure.any() else np.zeros(0, dtype=np.int64), k].astype(np.int64)
     m = Model(labels, np.zeros((BUCKETS, k), dtype=np.float32), np.zeros((k, k)), np.zeros(k), lexicon, lexicon_label, np.zeros((k + 1, k)))
-    known = words.lexical(lexicon, lexicon_label)
-    follow = ~words.resets[1:] if n else np.zeros(0, dtype=bool)
+    follow = ~resets[1:] if n else np.zeros(0, dtype=bool)
     true_move = np.zeros((k, k))
     if n:
         np.add.at(true_move, (gold[:-1][follow], gold[1:][follow]), 1)
-    true_begin = np.bincount(gold[words.resets], minlength=k).astype(float) if n else np.zeros(k)
+    true_begin = np.bincount(gold[resets], minlength=k).astype(float) if n else np.zeros(k)
     memory = [np.full(p.shape, 1e-2) for p in (m.table, m.move, m.begin, m.bonus)]
-    index = np.r_[words.fixed.ravel(), words.grams]
-    owner = np.r_[np.tile(np.arange(n), len(words.fixed)), words.gram_word]
     for _ in range(rounds if n else 0):
-        got, moves, begins = marginals(words.scores(m.table, m.lexicon, m.lexicon_label, m.bonus), words.resets, m.move, m.begin, pairs=True)
-        gap = (one - got) * w[:, None] / n
-        table = np.stack([np.bincount(index, weights=gap[owner, j], minlength=BUCKETS) for j in range(k)], axis=1)
-        bonus = np.stack([np.bincount(known, weights=gap[:, j], minlength=k + 1) for j in range(k)], axis=1)
-        bonus[k] = 0
-        grads = [table, (true_move - moves) / n, (true_begin - begins) / n, bonus]
+        table, bonus, moves, begins, at = np.zeros((k, BUCKETS)), np.zeros((k, k + 1)), np.zeros((k, k)), np.zeros(k), 0
+        for part in parts:
+            of = slice(at, at + part.n)
+            at += part.n
+            got, move, begin = marginals(part.scores(m.table, m.lexicon, m.lexicon_label, m.bonus), part.resets, m.move, m.begin, pairs=True)
+            moves += move
+            begins += begin
+            gap = (np.eye(k)[gold[of]] - got) * w[of, None] / n
+            index, grams = np.r_[part.fixed.ravel(), part.grams], np.diff(part.gram_end, prepend=0)
+            known = part.lexical(lexicon, lexicon_label)
+            for j, g in enumerate(gap.T):
+                table[j] += np.bincount(index, weights=np.r_[np.tile(g, len(part.fixed)), np.repeat(g, grams)], minlength=BUCKETS)
+                bonus[j] += np.bincount(known, weights=g, minlength=k + 1)
+        bonus[:, k] = 0
+        grads = [table.T, (true_move - moves) / n, (true_begin - begins) / n, bonus.T]
         for p, g, s in zip((m.table, m.move, m.begin, m.bonus), grads, memory, strict=True):
             g = g * 1000 - l2 * p
             s += g * g

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import crf
-from tradewind.llm.common import carried, crc32_mod, in_one_task, read, text_batches
+from tradewind.llm.common import carried, crc32_mod, give_back, in_one_task, read, text_batches
 
 SAMPLE = 400          # documents a language
 SAMPLE_CHARS = 4_000  # of one sampled document: a longer one's window
@@ -88,8 +88,8 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> crf.Model | None:
         k += len(part)
         texts.append(" ".join(w for _, ws in part for w in ws))
         gold += [label for label, ws in part for _ in ws]
-    words = crf.Words(texts)
-    assert words.n == len(gold)
+    words = [crf.Words(part).features() for part in crf.slices(texts)]
+    assert sum(w.n for w in words) == len(gold)
     return crf.fit(words, np.array(gold), labels)
 
 
@@ -108,6 +108,7 @@ def identify(df: DataFrame, model: crf.Model | None, id_col: str = "doc_id", tex
     def run(batches):
         import pyarrow as pa
         m = shared.value
+        give_back()
         names = ["id", "lang_pred", "score", "n_words", "langs"]
         for whole in batches:
             for b in text_batches(whole, ["text"], SLICE):

@@ -21,12 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import crf
-from tradewind.llm.common import carried, crc32_mod, in_one_task, read, text_batches
+from tradewind.llm.common import carried, crc32_mod, give_back, in_one_task, read, text_batches
 from tradewind.llm.langid import window
 
 SAMPLE = 1200   # documents a class
 SAMPLE_CHARS = 20_000  # of one sampled document: a longer one's window
-SLICE = 500_000  # characters scored at a time in training
 RATIO = 20      # times as frequent in toxic documents
 LEAST = 3       # toxic documents with the form
 SPAN = 30       # words of context kept around an offending word in training
@@ -50,26 +49,36 @@ def _kin(words: list[str]) -> tuple:
     return min(zip(words, words[1:], words[2:], strict=False), key=lambda g: zlib.crc32(" ".join(g).encode()), default=tuple(words))
 
 
-def offending_forms(rows: list[tuple[int, list[str]]]) -> set[str]:
-    """Words and stems that mark toxic documents, from (label, words). Near
-    copies count once, so that their other words don't."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    kin: dict = {}
-    for label, words in rows:
-        kin.setdefault((label, _kin(words)), []).append(words)
-    for (label, _), copies in kin.items():
-        seen[label].update({f for w in set(copies[0]) for f in _forms(w)})
-    n = [max(1, sum(1 for label, _ in kin if label == k)) for k in (0, 1)]
-    return {f for f, a in seen[1].items() if a >= LEAST and (a / n[1]) >= RATIO * ((seen[0][f] + 0.5) / n[0])}
+def _words(text: str) -> list[str]:
+    return _WORD.findall(crf.fold(text))
+
+
+def offending_forms(rows: list[tuple[int, str]]) -> set[str]:
+    """Words and stems that mark toxic documents, from (label, text). Near
+    copies count once, so that their other words don't. One text's words are
+    held at a time, and of clean documents only forms that stand in enough
+    toxic ones are counted."""
+    n, seen = [1, 1], [Counter(), Counter()]
+    for label in (1, 0):
+        kin = set()
+        for words in (_words(t) for y, t in rows if y == label):
+            if (key := _kin(words)) not in kin:
+                kin.add(key)
+                forms = {f for w in set(words) for f in _forms(w)}
+                seen[label].update(forms if label else forms & seen[1].keys())
+        if label:
+            seen[1] = Counter({f: a for f, a in seen[1].items() if a >= LEAST})
+        n[label] = max(1, len(kin))
+    return {f for f, a in seen[1].items() if (a / n[1]) >= RATIO * ((seen[0][f] + 0.5) / n[0])}
 
 
 def train(rows: list[tuple[int, str]], seed: int = 11) -> ToxicModel | None:
     """``rows``: (0 or 1, text). None without any word."""
     rng = np.random.default_rng(seed)
-    words = [(label, _WORD.findall(crf.fold(t))) for label, t in rows]
-    bad = offending_forms(words)
+    bad = offending_forms(rows)
     texts, gold = [], []
-    for label, ws in words:
+    for label, t in rows:
+        ws = _words(t)
         if not ws:
             continue
         marks = [int(label == 1 and not bad.isdisjoint(_forms(w))) for w in ws]
@@ -80,19 +89,11 @@ def train(rows: list[tuple[int, str]], seed: int = 11) -> ToxicModel | None:
             gold += marks[part]
     if not gold:
         return None
-    w = crf.Words(texts)
-    field = crf.fit(w, np.array(gold), ["clean", "toxic"])
+    field = crf.fit([crf.Words(part).features() for part in crf.slices(texts)], np.array(gold), ["clean", "toxic"])
     seen = []
-    del w
-    at = 0
-    while at < len(rows):
-        to, size = at + 1, len(rows[at][1])
-        while to < len(rows) and size + len(rows[to][1]) <= SLICE:
-            size += len(rows[to][1])
-            to += 1
-        part = crf.Words([t for _, t in rows[at:to]])
-        seen.append(_evidence(part, field.marginals(part)[:, 1]))
-        at = to
+    for part in crf.slices([t for _, t in rows]):
+        words = crf.Words(part)
+        seen.append(_evidence(words, field.marginals(words)[:, 1]))
     return ToxicModel(field, _logistic(np.concatenate(seen), np.array([label for label, _ in rows])))
 
 
@@ -141,6 +142,7 @@ def score(df: DataFrame, model: ToxicModel | None, id_col: str = "doc_id", text_
     def run(batches):
         import pyarrow as pa
         m = shared.value
+        give_back()
         for whole in batches:
             for b in text_batches(whole, ["text"], 200_000):
                 texts = b.column("text").to_pylist()
